@@ -43,7 +43,7 @@ inflow AS (SELECT coalesce(s.hour, e.hour) AS hour, coalesce(s.station, e.statio
 ranked AS (SELECT *, CAST(row_number() OVER (PARTITION BY hour ORDER BY score DESC, station) AS BIGINT)
   AS rank FROM inflow)"""
 
-LONG = "long_rides AS (SELECT * FROM positive WHERE us > 45 * 60000000)"
+LONG = "long_rides AS (SELECT * FROM positive WHERE us > 2700000000)"
 
 
 def describe(source: str, unit: int) -> str:
@@ -61,7 +61,7 @@ def describe(source: str, unit: int) -> str:
 
 def box(label: str, cap: int, condition: str) -> str:
     us = "x / 60000000.0::DOUBLE"
-    return f"""capped AS (SELECT {label}, least(us, {cap} * 60000000) AS x FROM positive WHERE {condition}),
+    return f"""capped AS (SELECT {label}, least(us, {cap * 60000000}) AS x FROM positive WHERE {condition}),
     quart AS (SELECT {label}, quantile_cont(x::DOUBLE, 0.25) AS q1, quantile_cont(x::DOUBLE, 0.5) AS q2,
       quantile_cont(x::DOUBLE, 0.75) AS q3 FROM capped GROUP BY {label}),
     fenced AS (SELECT c.{label}, x, q1, q2, q3, x < q1 - 1.5 * (q3 - q1) AS below, x > q3 + 1.5 * (q3 - q1) AS above
@@ -79,8 +79,8 @@ def range_bins(source: str, value: str, bins: int, unit: int) -> str:
     span AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
     binned AS (SELECT CAST(least((x - lo) * {bins} // (hi - lo), {bins - 1}) + 1 AS BIGINT) AS bin, lo, hi
       FROM v, span)
-    SELECT bin, (lo * {bins} + (bin - 1) * (hi - lo))::DOUBLE / ({bins} * {unit}) AS low,
-      (lo * {bins} + bin * (hi - lo))::DOUBLE / ({bins} * {unit}) AS high, {N} AS rides
+    SELECT bin, (lo * {bins} + (bin - 1) * (hi - lo))::DOUBLE / {bins * unit} AS low,
+      (lo * {bins} + bin * (hi - lo))::DOUBLE / {bins * unit} AS high, {N} AS rides
     FROM binned GROUP BY bin, lo, hi"""
 
 
@@ -216,13 +216,13 @@ BODIES = {
     + " FROM valid",
     "duration_by_bike_exact": profile("rideable_type", "quantile_cont"),
     "duration_describe": describe("positive", 60000000),
-    "duration_histogram": range_bins("positive", "least(us, 120 * 60000000)", 80, 60000000),
+    "duration_histogram": range_bins("positive", "least(us, 7200000000)", 80, 60000000),
     "duration_box_by_bike": box(
         "rideable_type", 120, "rideable_type IN ('classic_bike', 'electric_bike')"
     ),
     # Long rides
-    "long_ride_summary": f"""c AS (SELECT {where("us > 45 * 60000000")} AS long_rides, {N} AS all_rides,
-        {where("us > 1440 * 60000000")} AS over_a_day FROM positive)
+    "long_ride_summary": f"""c AS (SELECT {where("us > 2700000000")} AS long_rides, {N} AS all_rides,
+        {where("us > 86400000000")} AS over_a_day FROM positive)
       SELECT *, {pct("long_rides", "all_rides", 2)} AS pct_long FROM c""",
     "long_ride_describe": f"{LONG} {describe('long_rides', 1000000)}",
     "long_ride_split": f"""{LONG}
@@ -233,7 +233,7 @@ BODIES = {
     "user_share": f"""c AS (SELECT member_casual, {N} AS rides FROM positive GROUP BY member_casual)
       SELECT member_casual, rides, {pct("rides", "(SELECT count(*) FROM positive)")} AS pct FROM c""",
     "long_ride_histogram": f"{LONG}, {range_bins('long_rides', 'us', 40, 3600000000)}",
-    "long_ride_rate_by_user": f"""c AS (SELECT member_casual, {where("us > 45 * 60000000")} AS long_rides,
+    "long_ride_rate_by_user": f"""c AS (SELECT member_casual, {where("us > 2700000000")} AS long_rides,
         {N} AS all_rides FROM positive GROUP BY member_casual)
       SELECT *, {pct("long_rides", "all_rides", 2)} AS pct_long FROM c""",
     "long_ride_circular_share": f"""{LONG}, c AS (
@@ -323,8 +323,8 @@ BODIES = {
         {pct("rides", "all_rides")} AS overall_pct FROM c, a""",
     "circular_histogram": f"""b AS (SELECT label, CAST(least(us * 59 // 5400000000, 58) + 1 AS BIGINT) AS bin
       FROM positive WHERE label <> 'unknown' AND us BETWEEN 0 AND 5400000000)
-      SELECT label, bin, ((bin - 1) * 5400000000)::DOUBLE / (59 * 60000000) AS low,
-        (bin * 5400000000)::DOUBLE / (59 * 60000000) AS high, {N} AS rides FROM b GROUP BY label, bin""",
+      SELECT label, bin, ((bin - 1) * 5400000000)::DOUBLE / 3540000000 AS low,
+        (bin * 5400000000)::DOUBLE / 3540000000 AS high, {N} AS rides FROM b GROUP BY label, bin""",
     "circular_box": box("label", 90, "label <> 'unknown'"),
     # Recommendation
     "station_hour_starts": f"""SELECT hour, start_station_name AS station, {N} AS starts FROM bounded_named
