@@ -44,6 +44,7 @@ def with_calendar(trips: DataFrame) -> DataFrame:
         )
     same = F.col("start_station_name") == F.col("end_station_name")
     dow = clock.iso_weekday(F.col("started_at"))
+    seconds = F.col("duration_secs")
     return trips.withColumns(
         {
             "ym": F.format_string("%04d-%02d", F.col("year"), F.col("month")),
@@ -54,6 +55,13 @@ def with_calendar(trips: DataFrame) -> DataFrame:
             "season": clock.season(F.col("month")),
             "is_circular": same,
             "route_kind": F.when(same, CIRCULAR).when(~same, ONE_WAY).otherwise(UNKNOWN),
+            "is_started": F.col("started_at").isNotNull(),
+            "is_bounded": F.col("started_at").isNotNull() & F.col("ended_at").isNotNull(),
+            "is_valid": (seconds > 0) & (seconds < SECONDS_PER_DAY),
+            "is_positive": F.col("duration_us") > 0,
+            "n": F.lit(1).cast("bigint"),
+            "total_secs": seconds,
+            "total_us": F.col("duration_us"),
         }
     )
 
@@ -67,11 +75,11 @@ def prepare(raw: DataFrame) -> DataFrame:
 
 
 def started(trips: DataFrame) -> DataFrame:
-    return trips.filter(F.col("started_at").isNotNull())
+    return trips.filter("is_started")
 
 
 def bounded(trips: DataFrame) -> DataFrame:
-    return trips.filter(F.col("started_at").isNotNull() & F.col("ended_at").isNotNull())
+    return trips.filter("is_bounded")
 
 
 def bounded_named(trips: DataFrame) -> DataFrame:
@@ -82,20 +90,19 @@ def bounded_named(trips: DataFrame) -> DataFrame:
 
 def valid(trips: DataFrame) -> DataFrame:
     """Longer than nothing and shorter than a day, in whole seconds."""
-    return trips.filter(
-        (F.col("duration_secs") > 0) & (F.col("duration_secs") < SECONDS_PER_DAY)
-    )
+    return trips.filter("is_valid")
 
 
 def positive(trips: DataFrame) -> DataFrame:
     """Any ride that took time, fractions of a second included, without an upper bound."""
-    return trips.filter(F.col("duration_us") > 0)
+    return trips.filter("is_positive")
 
 
 def rides(name: str = "rides") -> Column:
-    return F.count(F.lit(1)).alias(name)
+    """Number of rides: every row stands for ``n`` of them, which is 1 in a trip table."""
+    return F.coalesce(F.sum("n"), F.lit(0)).alias(name)
 
 
 def count_where(condition: Column, name: str) -> Column:
-    """Rows for which the condition is true; NULL counts as not true."""
-    return F.count_if(condition).alias(name)
+    """Rides for which the condition is true; NULL counts as not true."""
+    return F.coalesce(F.sum(F.when(condition, F.col("n"))), F.lit(0)).alias(name)

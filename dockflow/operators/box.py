@@ -18,7 +18,7 @@ def box_statistics(frame: DataFrame, key: str, value: Column, unit: int) -> Data
     counts: the quartiles, and then one pass over the counts next to the quartiles of their
     key, of which there are as many as keys.
     """
-    counts = counted(frame.select(key, value.alias("_value")), [key], "_value")
+    counts = counted(frame.select(key, "n", value.alias("_value")), [key], "_value")
     quartiles = wide_quantiles(
         counts, [key], "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75}
     ).withColumnRenamed(key, "_key")

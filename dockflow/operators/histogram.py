@@ -30,7 +30,7 @@ def fixed_histogram(
     keys: Sequence[str] = (),
 ) -> DataFrame:
     """Rides per bin of ``low..high``; values outside are not counted."""
-    inside = frame.select(*keys, value.alias("_value")).filter(
+    inside = frame.select(*keys, "n", value.alias("_value")).filter(
         F.col("_value").between(low, high)
     )
     edges = [F.lit(low), F.lit(high)]
@@ -44,7 +44,7 @@ def range_histogram(frame: DataFrame, value: Column, bins: int, unit: int) -> Da
     The range is a scalar subquery over the same single column, then the bins are counted:
     two pruned scans, and no more than ``bins`` rows per task in the only shuffle.
     """
-    values = frame.select(value.alias("_value"))
+    values = frame.select("n", value.alias("_value"))
     low, high = F.min("_value"), F.max("_value")
     pad = F.when(low == high, unit // 2).otherwise(0)
     span = values.agg(F.struct((low - pad).alias("low"), (high + pad).alias("high"))).scalar()

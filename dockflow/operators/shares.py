@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.functions.figures import percent
+from dockflow.functions.trip import rides
 
 
 def share_of(rides: str, group: Sequence[str] = (), digits: int = 1) -> Column:
@@ -37,7 +38,7 @@ def long_counts(frame: DataFrame, dimensions: dict[str, str]) -> DataFrame:
     The rides are counted once at the joint grain of all dimensions, and only those few
     rows are multiplied by the number of dimensions.
     """
-    grain = frame.groupBy(*dimensions.values()).agg(F.count(F.lit(1)).alias("n"))
+    grain = frame.groupBy(*dimensions.values()).agg(rides("n"))
     pairs = [
         F.struct(F.lit(name).alias("dimension"), F.col(column).cast("string").alias("value"))
         for name, column in dimensions.items()

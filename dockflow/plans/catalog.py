@@ -44,11 +44,13 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
         users.user_avg_duration,
         peaks.peak_hours_by_season,
         peaks.peak_hours_simple,
+        peaks.peak_hours_nested,
         peaks.peak_hour_table,
         peaks.season_peak_hour,
         peaks.hourly_rides_per_day,
         growth.monthly_rides,
         growth.monthly_rides_by_user,
+        growth.monthly_rides_by_user_nested,
         growth.yoy_monthly,
         growth.yoy_totals,
         growth.yoy_same_month,
@@ -78,6 +80,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
         seasons.season_bike_mix,
         seasons.season_user_mix,
         seasons.season_by_year,
+        seasons.season_by_year_nested,
         seasons.season_electric_share,
         seasons.season_casual_share,
         circular.circular_overall,

@@ -84,7 +84,7 @@ def describe(frame: DataFrame, unit: int) -> DataFrame:
     points = quartiles.select(F.struct("p25", "p50", "p75")).scalar()
     summary = frame.agg(
         rides("count"),
-        (F.sum(value) / (F.count(F.lit(1)) * unit)).alias("mean"),
+        (F.sum(value) / (F.sum("n") * unit)).alias("mean"),
         (F.stddev_samp(value / unit)).alias("std"),
         (F.min(value) / unit).alias("min"),
         (F.max(value) / unit).alias("max"),

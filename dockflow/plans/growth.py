@@ -9,6 +9,7 @@ from dockflow.functions.clock import month_name
 from dockflow.functions.figures import change_percent
 from dockflow.functions.trip import CASUAL, MEMBER, count_where, rides, started
 from dockflow.operators.axis import on_axis
+from dockflow.operators.nested import keyed
 
 
 def monthly_rides(trips: DataFrame) -> DataFrame:
@@ -20,6 +21,13 @@ def monthly_rides_by_user(trips: DataFrame) -> DataFrame:
     return started(trips).groupBy("ym", "member_casual").agg(rides())
 
 
+def monthly_rides_by_user_nested(trips: DataFrame) -> DataFrame:
+    """Rides of every user type of a month as one JSON object."""
+    users = keyed(F.col("member_casual"), F.col("rides"))
+    months = monthly_rides_by_user(trips).groupBy("ym").agg(users.alias("rides"))
+    return months.withColumn("rides", F.to_json("rides"))
+
+
 def _two_years(base: int, compare: int) -> list[Column]:
     year = F.col("year")
     return [count_where(year == base, "rides_base"), count_where(year == compare, "rides_cmp")]

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions.trip import count_where, positive, rides, started
 from dockflow.operators.axis import on_axis
+from dockflow.operators.nested import ordered_list
 
 
 def _hour() -> Column:
@@ -25,6 +26,17 @@ def peak_hours_simple(trips: DataFrame) -> DataFrame:
     return started(trips).groupBy(_hour(), _day_class()).agg(rides())
 
 
+def season_hours(trips: DataFrame) -> DataFrame:
+    """The hours of each day class and season as one list, in order."""
+    hours = ordered_list([F.col("hour")], F.struct("hour", "rides"))
+    counts = peak_hours_by_season(trips)
+    return counts.groupBy("is_weekend", "season").agg(hours.alias("hours"))
+
+
+def peak_hours_nested(trips: DataFrame) -> DataFrame:
+    return season_hours(trips).withColumn("hours", F.to_json("hours"))
+
+
 def peak_hour_table(trips: DataFrame) -> DataFrame:
     counts = (
         started(trips)

@@ -15,6 +15,7 @@ from dockflow.functions.trip import (
     rides,
     valid,
 )
+from dockflow.operators.nested import keyed
 from dockflow.operators.quantiles import second_profile
 
 
@@ -44,6 +45,14 @@ def season_by_year(trips: DataFrame) -> DataFrame:
     return valid(trips).groupBy(F.col("year").cast("bigint").alias("year"), "season").agg(rides())
 
 
+def season_by_year_nested(trips: DataFrame) -> DataFrame:
+    """Rides of every season of a year as one JSON object."""
+    years = season_by_year(trips).groupBy("year").agg(
+        keyed(F.col("season"), F.col("rides")).alias("seasons")
+    )
+    return years.withColumn("seasons", F.to_json("seasons"))
+
+
 def _pct(part: str, other: str) -> Column:
     share = percent(F.col(part), F.col(part) + F.col(other))
     return F.coalesce(share, F.lit(0.0)).alias(f"pct_{part}")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.functions.trip import bounded, positive, rides
+from dockflow.functions.trip import bounded, count_where, positive, rides
 from dockflow.operators.flows import station_flows
 from dockflow.operators.ranking import by_name, top, top_per_group
 from dockflow.operators.shares import scaled
@@ -87,7 +87,7 @@ def station_map_points(trips: DataFrame, k: int = 40) -> DataFrame:
         return F.min_by(column, F.when(F.col(column).isNotNull(), order))
 
     counts = named.groupBy(F.col("start_station_name").alias("station")).agg(
-        F.count("ride_id").alias("rides"),
+        count_where(F.col("ride_id").isNotNull(), "rides"),
         earliest("start_lat").alias("lat"),
         earliest("start_lng").alias("lng"),
     )

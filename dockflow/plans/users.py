@@ -13,7 +13,7 @@ from dockflow.operators.quantiles import second_profile
 
 
 def _mean() -> Column:
-    return mean_minutes(F.sum("duration_secs"), F.count(F.lit(1))).alias("avg_duration_min")
+    return mean_minutes(F.sum("total_secs"), F.sum("n")).alias("avg_duration_min")
 
 
 def _both_users() -> list[Column]:
@@ -61,5 +61,5 @@ def user_hour_pivot(trips: DataFrame) -> DataFrame:
 
 def user_avg_duration(trips: DataFrame) -> DataFrame:
     """Mean minutes, not rounded."""
-    mean = F.sum("duration_us") / (F.count(F.lit(1)) * MICROS_PER_MINUTE)
+    mean = F.sum("total_us") / (F.sum("n") * MICROS_PER_MINUTE)
     return positive(trips).groupBy("member_casual").agg(mean.alias("avg_duration_min"))

@@ -164,6 +164,11 @@ BODIES = {
     # Peak hours
     "peak_hours_by_season": f"""SELECT hour, is_weekend, season, {N} AS rides FROM started
       GROUP BY hour, is_weekend, season""",
+    "peak_hours_nested": f"""h AS (SELECT is_weekend, season, hour, {N} AS rides FROM started
+        GROUP BY is_weekend, season, hour)
+      SELECT is_weekend, season,
+        CAST(to_json(list(struct_pack(hour := hour, rides := rides) ORDER BY hour)) AS VARCHAR) AS hours
+      FROM h GROUP BY is_weekend, season""",
     "peak_hours_simple": f"SELECT hour, is_weekend, {N} AS rides FROM started GROUP BY hour, is_weekend",
     "peak_hour_table": f"""SELECT CAST(h AS BIGINT) AS hour, {where("is_weekend = 'weekday'")} AS weekday,
         {where("is_weekend = 'weekend'")} AS weekend
@@ -184,6 +189,10 @@ BODIES = {
     # Year over year
     "monthly_rides": f"SELECT year, month, {N} AS rides FROM started GROUP BY year, month",
     "monthly_rides_by_user": f"SELECT ym, member_casual, {N} AS rides FROM started GROUP BY ym, member_casual",
+    "monthly_rides_by_user_nested": f"""u AS (SELECT ym, member_casual, {N} AS rides FROM started
+        GROUP BY ym, member_casual)
+      SELECT ym, CAST(json_group_object(member_casual, rides ORDER BY member_casual) AS VARCHAR) AS rides
+      FROM u GROUP BY ym""",
     "yoy_monthly": f"""c AS (SELECT CAST(m AS BIGINT) AS month, {where("year = 1999")} AS rides_base,
         {where("year = 2000")} AS rides_cmp
       FROM generate_series(1, 12) AS axis(m) LEFT JOIN started ON started.month = m GROUP BY m)
@@ -284,6 +293,9 @@ BODIES = {
     "season_user_mix": f"""SELECT season, member_casual, {N} AS rides FROM valid
       GROUP BY season, member_casual""",
     "season_by_year": f"SELECT year, season, {N} AS rides FROM valid GROUP BY year, season",
+    "season_by_year_nested": f"""y AS (SELECT year, season, {N} AS rides FROM valid GROUP BY year, season)
+      SELECT year, CAST(json_group_object(season, rides ORDER BY season) AS VARCHAR) AS seasons
+      FROM y GROUP BY year""",
     "season_electric_share": f"""c AS (SELECT season, {where("rideable_type = 'classic_bike'")} AS classic,
         {where("rideable_type = 'electric_bike'")} AS electric FROM valid GROUP BY season)
       SELECT *, CASE WHEN classic + electric > 0 THEN {pct("electric", "(classic + electric)")}
