@@ -29,6 +29,11 @@ def _down(name: str) -> Column:
     return -F.col(name)
 
 
+def _named(name: str) -> list[Column]:
+    """In name order, without a name last."""
+    return [F.col(name).isNull(), F.col(name)]
+
+
 def _fields(names: str) -> Column:
     return F.struct(*names.split())
 
@@ -39,7 +44,7 @@ def popular_stations(run: Run) -> DataFrame:
     stations = run("station_alltime_topk").withColumnsRenamed({"station": "station_name"})
     months = months.withColumn("rides", F.col("start_count"))
     stations = stations.withColumn("start_count", F.col("rides"))
-    order = [_down("start_count"), F.col("station_name")]
+    order = [_down("start_count"), *_named("station_name")]
     return document(
         {
             "by_month": map_of_lists(months, "ym", order, [*listed, "net", "rides"]),
@@ -177,7 +182,7 @@ def circular_trips(run: Run) -> DataFrame:
                 count, [_down("circular_rides"), station], ["station", "circular_rides"]
             ),
             "top_by_rate": list_of(
-                rate, [_down("pct_circular"), station], ["station", *shares.split()]
+                rate, [_down("pct_circular"), *_named("station")], ["station", *shares.split()]
             ),
         }
     )
