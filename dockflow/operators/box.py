@@ -16,14 +16,14 @@ def box_statistics(frame: DataFrame, key: str, value: Column, unit: int) -> Data
     A whisker ends at the outermost value within 1.5 quartile ranges of the box, and never
     inside the box; values beyond it are fliers. Everything is computed from (key, value)
     counts: the quartiles, and then one pass over the counts next to the quartiles of their
-    key, of which there are as many as keys.
+    key. ``key`` is a type-like column: the quartiles, one row per value of it, are broadcast.
     """
     counts = counted(frame.select(key, "n", value.alias("_value")), [key], "_value")
     quartiles = wide_quantiles(
         counts, [key], "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75}
     ).withColumnRenamed(key, "_key")
     fence = REACH * (F.col("q3") - F.col("q1"))
-    placed = counts.join(quartiles, F.col(key).eqNullSafe(F.col("_key"))).withColumns(
+    placed = counts.join(F.broadcast(quartiles), F.col(key).eqNullSafe(F.col("_key"))).withColumns(
         {
             "_above": F.col("_value") > F.col("q3") + fence,
             "_below": F.col("_value") < F.col("q1") - fence,

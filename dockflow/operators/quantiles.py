@@ -85,6 +85,9 @@ def wide_quantiles(
     those buckets (at most two per quantile and group) are then ordered value by value. No
     task ever holds a group: it streams over the buckets of one group, or over the values of
     one bucket.
+
+    ``keys`` are type-like columns with a handful of values: the wanted buckets are broadcast,
+    two rows at most per quantile and group.
     """
     names = list(quantiles)
     by_key = [*keys, "_bucket"]
@@ -119,16 +122,16 @@ def wide_quantiles(
         ).alias("_targets"),
     ).filter(F.size("_targets") > 0)
 
-    # Null-safe, since an unknown bike or user type is a group too.
+    # Null-safe, since an unknown bike or user type is a group too. For the bucket it keeps the
+    # join from adding a not-null filter below the counts, which are then computed only once.
     wanted = targets.select(
         *[F.col(key).alias(f"_t_{key}") for key in by_key], "_total", "_targets"
     )
-    on = [F.col(key).eqNullSafe(F.col(f"_t_{key}")) for key in keys]
-    on.append(F.col("_bucket") == F.col("_t__bucket"))
+    on = [F.col(key).eqNullSafe(F.col(f"_t_{key}")) for key in by_key]
     inner = Window.partitionBy(*by_key).orderBy(value)
     inner = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     values = (
-        bucketed.join(wanted, on)
+        bucketed.join(F.broadcast(wanted), on)
         .withColumn("_upto", F.sum("n").over(inner))
         .withColumn(
             "_hits",
