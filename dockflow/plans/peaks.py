@@ -77,7 +77,8 @@ def hourly_rides_per_day(trips: DataFrame) -> DataFrame:
     kinds = ("weekday", "weekend")
 
     def of(kind: str, column: str) -> Column:
-        return F.when(F.col("is_weekend") == kind, F.col(column))
+        # Reads the rides for the days too, so that both uses share one set of counts.
+        return F.when((F.col("is_weekend") == kind) & (F.col("rides") > 0), F.col(column))
 
     days = daily.agg(
         F.struct(*[F.count_distinct(of(kind, "date")).alias(kind) for kind in kinds])
