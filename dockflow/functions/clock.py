@@ -47,6 +47,11 @@ def day_name(dow: Column) -> Column:
     return F.element_at(F.array(*[F.lit(name) for name in DAY_NAMES]), dow.cast("int"))
 
 
+def month_label(month_no: Column) -> Column:
+    """``202306`` as ``2023-06``. For results: months are grouped by their number."""
+    return F.format_string("%04d-%02d", F.floor(month_no / 100), month_no % 100)
+
+
 def month_name(month: Column) -> Column:
     return F.monthname(F.make_date(F.lit(2000), month.cast("int"), F.lit(1)))
 

@@ -41,29 +41,36 @@ def _in_range(value: Column, low: int, beyond: int) -> Column:
     return F.width_bucket(value, F.lit(low), F.lit(beyond), F.lit(1)) == 1
 
 
-def with_calendar(trips: DataFrame) -> DataFrame:
-    """Add the calendar and route columns. Unused ones are pruned by the optimizer.
+def with_labels(frame: DataFrame) -> DataFrame:
+    """Add what follows from ``year``, ``month``, ``dow`` and ``is_circular``.
 
-    A stored table already carries ``year`` and ``month`` as partition columns; ``ym`` and
-    ``season`` are built from those two, so that filters on them prune partitions.
+    ``month_no`` and ``season`` depend on the partition columns of a stored table alone, so
+    that filters on them prune partitions.
     """
+    same = F.col("is_circular")
+    return frame.withColumns(
+        {
+            "month_no": F.col("year") * 100 + F.col("month"),
+            "season": clock.season(F.col("month")),
+            "day_class": clock.day_class(F.col("dow")),
+            "route_kind": F.when(same, CIRCULAR).when(~same, ONE_WAY).otherwise(UNKNOWN),
+        }
+    )
+
+
+def with_calendar(trips: DataFrame) -> DataFrame:
+    """Add the calendar and route columns. Unused ones are pruned by the optimizer."""
     if "year" not in trips.columns:
         trips = trips.withColumns(
             {"year": F.year("started_at"), "month": F.month("started_at")}
         )
-    same = F.col("start_station_name") == F.col("end_station_name")
-    dow = clock.iso_weekday(F.col("started_at"))
     seconds = F.col("duration_secs")
-    return trips.withColumns(
+    derived = trips.withColumns(
         {
-            "ym": F.format_string("%04d-%02d", F.col("year"), F.col("month")),
             "hour": F.hour("started_at"),
             "end_hour": F.hour("ended_at"),
-            "dow": dow,
-            "day_class": clock.day_class(dow),
-            "season": clock.season(F.col("month")),
-            "is_circular": same,
-            "route_kind": F.when(same, CIRCULAR).when(~same, ONE_WAY).otherwise(UNKNOWN),
+            "dow": clock.iso_weekday(F.col("started_at")),
+            "is_circular": F.col("start_station_name") == F.col("end_station_name"),
             "is_started": F.col("started_at").isNotNull(),
             "is_bounded": F.col("started_at").isNotNull() & F.col("ended_at").isNotNull(),
             "is_valid": _in_range(seconds, 1, SECONDS_PER_DAY),
@@ -73,6 +80,7 @@ def with_calendar(trips: DataFrame) -> DataFrame:
             "total_us": F.col("duration_us"),
         }
     )
+    return with_labels(derived)
 
 
 def prepare(raw: DataFrame) -> DataFrame:

@@ -11,20 +11,16 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.functions.trip import rides
+from dockflow.functions.trip import rides, with_labels
 from dockflow.plans import bikes, circular, growth, long_rides, overview, peaks, seasons, users
 
 GRAIN = (
     "year",
     "month",
-    "ym",
-    "season",
     "dow",
-    "day_class",
     "hour",
     "rideable_type",
     "member_casual",
-    "route_kind",
     "is_circular",
     "is_started",
     "is_valid",
@@ -73,8 +69,9 @@ FROM_CELLS = frozenset(
 
 def calendar_cells(trips: DataFrame) -> DataFrame:
     """One scan, one shuffle of map-side combined cells."""
-    return trips.groupBy(*GRAIN).agg(
+    cells = trips.groupBy(*GRAIN).agg(
         rides("n"),
         F.sum("total_secs").alias("total_secs"),
         F.sum("total_us").alias("total_us"),
     )
+    return with_labels(cells)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.functions.clock import month_name
+from dockflow.functions.clock import month_label, month_name
 from dockflow.functions.figures import change_percent
 from dockflow.functions.trip import CASUAL, MEMBER, count_where, rides, started
 from dockflow.operators.axis import on_axis
@@ -18,7 +18,9 @@ def monthly_rides(trips: DataFrame) -> DataFrame:
 
 
 def monthly_rides_by_user(trips: DataFrame) -> DataFrame:
-    return started(trips).groupBy("ym", "member_casual").agg(rides())
+    counts = started(trips).groupBy("month_no", "member_casual").agg(rides())
+    label = month_label(F.col("month_no")).alias("ym")
+    return counts.select(label, "member_casual", "rides")
 
 
 def monthly_rides_by_user_nested(trips: DataFrame) -> DataFrame:

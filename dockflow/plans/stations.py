@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dockflow.functions.clock import month_label
 from dockflow.functions.trip import bounded, count_where, positive, rides
 from dockflow.operators.flows import station_flows
 from dockflow.operators.ranking import by_name, top, top_per_group
@@ -28,6 +29,14 @@ def station_ends_monthly(trips: DataFrame) -> DataFrame:
     return bounded(trips).groupBy(station, *months).agg(rides("end_count"))
 
 
+def _month() -> dict[str, Column]:
+    return {"month_no": F.col("month_no")}
+
+
+def _label() -> Column:
+    return month_label(F.col("month_no")).alias("ym")
+
+
 def _balance() -> list[Column]:
     return [
         "station",
@@ -39,9 +48,9 @@ def _balance() -> list[Column]:
 
 def station_month_topk(trips: DataFrame, k: int = 20) -> DataFrame:
     """The k busiest start stations of every month, with the arrivals there."""
-    monthly = station_flows(bounded(trips), {"ym": F.col("ym")}).filter("starts > 0")
-    busiest = top_per_group(monthly, ["ym"], k, F.desc("starts"), *by_name("station"))
-    return busiest.select("ym", *_balance())
+    monthly = station_flows(bounded(trips), _month()).filter("starts > 0")
+    busiest = top_per_group(monthly, ["month_no"], k, F.desc("starts"), *by_name("station"))
+    return busiest.select(_label(), *_balance())
 
 
 def station_alltime_topk(trips: DataFrame, k: int = 30) -> DataFrame:
@@ -59,10 +68,10 @@ def station_end_heavy_latest(trips: DataFrame, k: int = 5, among: int = 20) -> D
     the stored table only that month's partition is read for the counts.
     """
     usable = bounded(trips)
-    latest = usable.agg(F.max("ym")).scalar()
-    month = station_flows(usable.filter(F.col("ym") == latest), {"ym": F.col("ym")})
+    latest = usable.agg(F.max("month_no")).scalar()
+    month = station_flows(usable.filter(F.col("month_no") == latest), _month())
     busiest = top(month.filter("starts > 0"), among, F.desc("starts"), *by_name("station"))
-    balanced = busiest.select("ym", *_balance()).withColumn(
+    balanced = busiest.select(_label(), *_balance()).withColumn(
         "direction",
         F.when(F.col("net") > 0, "ends > starts").otherwise("starts > ends"),
     )

@@ -11,6 +11,11 @@ def total(column: str) -> str:
     return f"CAST(sum({column}) AS BIGINT)"
 
 
+def json_object(key: str, value: str) -> str:
+    """Aggregate: a JSON object of counts, in key order."""
+    return f"""'{{' || string_agg('"' || {key} || '":' || {value}, ',' ORDER BY {key}) || '}}'"""
+
+
 def where(condition: str) -> str:
     return f"CAST(count(*) FILTER (WHERE {condition}) AS BIGINT)"
 
@@ -191,7 +196,7 @@ BODIES = {
     "monthly_rides_by_user": f"SELECT ym, member_casual, {N} AS rides FROM started GROUP BY ym, member_casual",
     "monthly_rides_by_user_nested": f"""u AS (SELECT ym, member_casual, {N} AS rides FROM started
         GROUP BY ym, member_casual)
-      SELECT ym, CAST(json_group_object(member_casual, rides ORDER BY member_casual) AS VARCHAR) AS rides
+      SELECT ym, {json_object("member_casual", "rides")} AS rides
       FROM u GROUP BY ym""",
     "yoy_monthly": f"""c AS (SELECT CAST(m AS BIGINT) AS month, {where("year = 1999")} AS rides_base,
         {where("year = 2000")} AS rides_cmp
@@ -294,7 +299,7 @@ BODIES = {
       GROUP BY season, member_casual""",
     "season_by_year": f"SELECT year, season, {N} AS rides FROM valid GROUP BY year, season",
     "season_by_year_nested": f"""y AS (SELECT year, season, {N} AS rides FROM valid GROUP BY year, season)
-      SELECT year, CAST(json_group_object(season, rides ORDER BY season) AS VARCHAR) AS seasons
+      SELECT year, {json_object("season", "rides")} AS seasons
       FROM y GROUP BY year""",
     "season_electric_share": f"""c AS (SELECT season, {where("rideable_type = 'classic_bike'")} AS classic,
         {where("rideable_type = 'electric_bike'")} AS electric FROM valid GROUP BY season)

@@ -50,15 +50,15 @@ def test_no_result_depends_on_the_session_zone(spark, zone):
     before = spark.conf.get("spark.sql.session.timeZone")
     spark.conf.set("spark.sql.session.timeZone", zone)
     try:
-        row = trips(spark, rows).select("hour", "duration_secs", "ym", "dow").first()
+        row = trips(spark, rows).select("hour", "duration_secs", "month_no", "dow").first()
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
-    assert tuple(row) == (2, 2400, "2023-03", 7)
+    assert tuple(row) == (2, 2400, 202303, 7)
 
 
 def test_calendar(hand):
     row = hand.filter("ride_id = 'e3'").first()
-    assert (row.ym, row.hour, row.end_hour, row.season, row.dow) == ("2023-12", 23, 0, "winter", 7)
+    assert (row.month_no, row.hour, row.end_hour, row.season, row.dow) == (202312, 23, 0, "winter", 7)
     assert row.day_class == "weekend"
 
 

@@ -179,7 +179,7 @@ def test_results(spark, run_dir):
 
 
 def test_documents(spark, run_dir):
-    trips = prepare(raw(spark)).withColumn("file_period", F.col("ym"))
+    trips = prepare(raw(spark)).withColumn("file_period", F.col("month_no").cast("string"))
     low = {
         "asymmetric_routes": {"min_rides": 0},
         "circular_top_rate": {"min_rides": 0},
