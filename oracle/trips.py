@@ -1,6 +1,6 @@
 """The trip view and its populations as common table expressions."""
 
-TRIPS = """
+RAW = """
 WITH line AS (
   SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_linestatus, l.l_returnflag, o.o_orderdate,
     CAST(l.l_quantity AS BIGINT) AS q,
@@ -36,7 +36,9 @@ WITH line AS (
     CASE WHEN l_returnflag = 'R' THEN 'casual' ELSE 'member' END AS member_casual,
     strftime(o_orderdate, '%Y%m') AS file_period
   FROM timed
-), parsed AS (
+)"""
+
+POPULATIONS = """, parsed AS (
   SELECT *, TRY_CAST(started_text AS TIMESTAMP) AS started_at, TRY_CAST(ended_text AS TIMESTAMP) AS ended_at
   FROM raw
 ), trips AS (
@@ -63,6 +65,8 @@ WITH line AS (
 ), positive AS (SELECT * FROM bounded WHERE us > 0
 )"""
 
+TRIPS = RAW + POPULATIONS
+
 
 def pct(part: str, whole: str, digits: int = 1) -> str:
     """100 * part / whole, half-up, in integer arithmetic; for part >= 0."""
