@@ -87,18 +87,34 @@ def station_top_starts_named(trips: DataFrame, k: int = 15) -> DataFrame:
 def station_map_points(trips: DataFrame, k: int = 40) -> DataFrame:
     """The k busiest start stations with a position and a marker radius of 5 to 30.
 
-    The position is that of the earliest ride that has one.
+    The position is that of the earliest ride that has one; of several at that moment, the
+    southernmost. It is looked up among the rides of the k stations at that moment, so that
+    the counts are kept in fixed-width numbers and need no sorting of the trips.
     """
     named = positive(trips).filter(F.col("start_station_name").isNotNull())
-
-    def earliest(column: str) -> Column:
-        order = F.struct("started_at", "ride_id", column)
-        return F.min_by(column, F.when(F.col(column).isNotNull(), order))
-
+    located = F.col("start_lat").isNotNull() & F.col("start_lng").isNotNull()
     counts = named.groupBy(F.col("start_station_name").alias("station")).agg(
         count_where(F.col("ride_id").isNotNull(), "rides"),
-        earliest("start_lat").alias("lat"),
-        earliest("start_lng").alias("lng"),
+        F.min(F.when(located, F.col("started_at"))).alias("first_at"),
     )
     busiest = top(counts, k, F.desc("rides"), *by_name("station"))
-    return busiest.withColumn("radius", scaled("rides", 5, 30))
+    # k rows at most.
+    moments = busiest.select(F.col("station").alias("place"), F.col("first_at").alias("moment"))
+    at_first = (F.col("start_station_name") == F.col("place")) & (
+        F.col("started_at") == F.col("moment")
+    )
+    places = (
+        named.filter(located)
+        .join(F.broadcast(moments), at_first)
+        .groupBy("place", "moment")
+        .agg(F.min(F.struct("start_lat", "start_lng")).alias("at"))
+    )
+    # Joining on the moment as well keeps both uses of the counts alike, so they share one.
+    found = (F.col("station") == F.col("place")) & (F.col("first_at") == F.col("moment"))
+    return busiest.join(F.broadcast(places), found, "left").select(
+        "station",
+        "rides",
+        F.col("at.start_lat").alias("lat"),
+        F.col("at.start_lng").alias("lng"),
+        scaled("rides", 5, 30).alias("radius"),
+    )
