@@ -131,6 +131,17 @@ def test_table_is_gathered_and_pruned(spark, table):
     assert "ReadSchema: struct<started_at:timestamp_ntz>" in plan
 
 
+def test_table_from_files(spark, files, run_dir):
+    path = os.path.join(run_dir, "trips")
+    write_trips(scan_trip_files(spark, files), path, gather=False)
+    stored = read_trips(spark, path)
+    assert spark_rows(QUERIES["load_profile"](stored)) == spark_rows(
+        QUERIES["load_profile"](prepare(raw(spark)))
+    )
+    # The ride without a readable start is kept, in a partition of its own.
+    assert [r.ride_id for r in stored.filter("month is null").collect()] == ["e7"]
+
+
 @pytest.fixture(scope="module")
 def cells(spark, table, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("cells"))
