@@ -9,11 +9,11 @@ import duckdb
 TABLES = ("lineitem", "orders", "supplier", "customer", "nation")
 
 
-def oracle(folder: str) -> duckdb.DuckDBPyConnection:
+def oracle(folder: str, glob: str = "") -> duckdb.DuckDBPyConnection:
     connection = duckdb.connect()
     for table in TABLES:
         connection.execute(
-            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet')"
+            f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{folder}/{table}.parquet{glob}')"
         )
     return connection
 

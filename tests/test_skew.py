@@ -83,3 +83,36 @@ def test_matches(spark, skewed, duck, name):
     assert len(found) == len(expected) > 0
     for left, right in zip(found, expected, strict=True):
         assert all(map(close, left, right)), (left, right)
+
+
+def test_hot_order_is_split_in_the_view(spark, small, tmp_path_factory):
+    """A third of the line items in one order, joined without any broadcast."""
+    folder = str(tmp_path_factory.mktemp("warehouse"))
+    lines = spark.read.parquet(f"{small}/lineitem.parquet")
+    order, supplier = lines.select("l_orderkey", "l_suppkey").first()
+    hot = lines.limit(30000).withColumns(
+        {"l_orderkey": F.lit(order), "l_suppkey": F.lit(supplier)}
+    )
+    lines.unionByName(hot).repartition(16).write.parquet(f"{folder}/lineitem.parquet")
+    for table in ("orders", "supplier", "customer", "nation"):
+        spark.read.parquet(f"{small}/{table}.parquet").write.parquet(f"{folder}/{table}.parquet")
+    # What a cluster sees with large tables, scaled down.
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        frame = QUERIES["route_counts"](prepare(raw_trips(spark, folder)))
+        found = spark_rows(frame)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert "SortMergeJoin(skew=true)" in plan
+    connection = oracle(folder, glob="/*.parquet")
+    assert found == duck_rows(connection, SQL["route_counts"])
