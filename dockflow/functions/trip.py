@@ -58,21 +58,36 @@ def with_labels(frame: DataFrame) -> DataFrame:
     )
 
 
+def with_numbers(trips: DataFrame) -> DataFrame:
+    """Add the calendar numbers of the start and the hour of the end.
+
+    Each is NULL exactly where its timestamp is.
+    """
+    return trips.withColumns(
+        {
+            "year": F.year("started_at"),
+            "month": F.month("started_at"),
+            "dow": clock.iso_weekday(F.col("started_at")),
+            "hour": F.hour("started_at"),
+            "end_hour": F.hour("ended_at"),
+        }
+    )
+
+
 def with_calendar(trips: DataFrame) -> DataFrame:
-    """Add the calendar and route columns. Unused ones are pruned by the optimizer."""
-    if "year" not in trips.columns:
-        trips = trips.withColumns(
-            {"year": F.year("started_at"), "month": F.month("started_at")}
-        )
+    """Add the calendar and route columns. Unused ones are pruned by the optimizer.
+
+    A stored table has the numbers: there, a query by month or hour reads no timestamps.
+    """
+    if "end_hour" not in trips.columns:
+        trips = with_numbers(trips)
     seconds = F.col("duration_secs")
+    has_start, has_end = F.col("year").isNotNull(), F.col("end_hour").isNotNull()
     derived = trips.withColumns(
         {
-            "hour": F.hour("started_at"),
-            "end_hour": F.hour("ended_at"),
-            "dow": clock.iso_weekday(F.col("started_at")),
             "is_circular": F.col("start_station_name") == F.col("end_station_name"),
-            "is_started": F.col("started_at").isNotNull(),
-            "is_bounded": F.col("started_at").isNotNull() & F.col("ended_at").isNotNull(),
+            "is_started": has_start,
+            "is_bounded": has_start & has_end,
             "is_valid": _in_range(seconds, 1, SECONDS_PER_DAY),
             "is_positive": F.col("duration_us") > 0,
             "n": F.lit(1).cast("bigint"),

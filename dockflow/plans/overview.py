@@ -46,8 +46,8 @@ def load_profile(trips: DataFrame) -> DataFrame:
     seconds = F.col("duration_secs")
     return trips.agg(
         rides("rows_loaded"),
-        count_where(F.col("started_at").isNull(), "bad_start"),
-        count_where(F.col("ended_at").isNull(), "bad_end"),
+        count_where(~F.col("is_started"), "bad_start"),
+        count_where(F.col("end_hour").isNull(), "bad_end"),
         count_where((seconds <= 0) | (seconds >= SECONDS_PER_DAY), "bad_duration"),
         count_where(F.col("start_station_name").isNull(), "no_start_station"),
         count_where(F.col("end_station_name").isNull(), "no_end_station"),

@@ -1,24 +1,22 @@
 """The trip table: typed trips as Parquet, partitioned by the month of the start.
 
 Parsed once, read many times: a query reads the two or three columns it needs, and one that
-asks for certain months or years reads only their partitions. Rows without a readable start
+asks for certain months or years reads only their partitions. Weekday and hours are stored as
+numbers, a few bits a row; a query by month, weekday or hour touches no timestamp. Rows without a readable start
 are kept, in a partition of their own, since some counts are of all rows of a file.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from dockflow.functions.trip import typed, with_calendar
+from dockflow.functions.trip import typed, with_calendar, with_numbers
 
 PARTITION = ("year", "month")
 
 
 def table_rows(raw: DataFrame) -> DataFrame:
-    return typed(raw).withColumns(
-        {"year": F.year("started_at"), "month": F.month("started_at")}
-    )
+    return with_numbers(typed(raw))
 
 
 def write_trips(raw: DataFrame, path: str, gather: bool = True, mode: str = "overwrite") -> None:
