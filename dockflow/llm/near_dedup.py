@@ -3,8 +3,9 @@
 Documents with the same words are one class, found by a shuffle of hashes. Classes are then
 branched: a tree sends a document down from a node along `BRANCH` minwise tokens, chosen by the
 node, to the children named by these tokens, so that documents that share chosen paths meet.
-Nodes of at most `node_limit` documents are compared exhaustively (on signatures); larger ones
-branch again. `TREES` independent trees take the recall of a link at the threshold beyond
+Nodes of at most `node_limit` documents are compared exhaustively (on signatures). In larger ones
+the documents that are like many of the node's `PIVOTS` pivots are settled by links to them, so
+that a group of copies doesn't multiply; the others branch again. `TREES` independent trees take the recall of a link at the threshold beyond
 1 - 1e-6 (a tree finds such a link with a chance of 0.94 at its first level and above 0.9 however
 deep it goes). What the comparison proposes joins documents to candidate groups, and every
 candidate group is decided on full shingle sets, which travel once.
@@ -33,9 +34,14 @@ from dockflow.llm.textbytes import U, mix, shingle_hashes, text_of, word_hashes
 
 WORDS, PERCENT = 5, 75
 COORDS, TREES, BRANCH, DEPTH = 64, 8, 2, 12
-NODE_LIMIT = 256
+NODE_LIMIT = 1000
+PIVOTS, LIKE_PIVOTS = 48, 6
 #: Signatures of documents at the threshold agree in fewer places with a chance of about 2e-6.
 AGREE = COORDS // 2
+#: For links to pivots: what is near to a settled document is still near to its pivots.
+AGREE_PIVOT = COORDS * 2 // 5
+#: Documents that a task settles at once.
+SETTLED_ROWS = 20_000
 #: Shingles that a task decides at once.
 GROUP_SHINGLES = 4_000_000
 ODD = mix(np.arange(1, COORDS + 1, dtype=U) * U(0x9E3779B97F4A7C15)) | U(1)
@@ -109,11 +115,56 @@ def _branch(frame: DataFrame, root: bool) -> DataFrame:
             signature = np.frombuffer(b"".join(text_of(batch, "signature").to_pylist()), dtype=U).reshape(-1, COORDS)
             path = np.zeros(len(batch), U) if root else text_of(batch, "path").to_numpy().view(U)
             child, row = _children(path, signature, root)
-            few = signature.astype(np.uint8).tobytes()
-            few = np.array([few[i * COORDS : (i + 1) * COORDS] for i in range(len(batch))], dtype=object)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), text_of(batch, "rep").take(pa.array(row)), pa.array(few[row], pa.binary())], ["path", "rep", "few"])
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), text_of(batch, "rep").take(pa.array(row))], ["path", "rep"])
 
-    return frame.mapInArrow(down, "path long, rep long, few binary")
+    return frame.mapInArrow(down, "path long, rep long")
+
+
+def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The low byte of each coordinate: enough to see how many agree."""
+    for batch in batches:
+        whole = np.frombuffer(b"".join(text_of(batch, "signature").to_pylist()), dtype=U).astype(np.uint8).tobytes()
+        yield pa.RecordBatch.from_arrays([text_of(batch, "rep"), pa.array([whole[i * COORDS : (i + 1) * COORDS] for i in range(len(batch))], pa.binary())], ["rep", "few"])
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by (path, part), a node's pivots before its documents. Gives links (pivot, rep)
+    and, with a null pivot, the documents that go on."""
+    node, pivots, marks = None, [], None
+    for batch in batches:
+        out: list[tuple] = []
+        joined: set[tuple[int, int]] = set()
+        for path, part, kind, rep, few in zip(*(text_of(batch, k).to_pylist() for k in ("path", "part", "kind", "rep", "few")), strict=True):
+            if node != (path, part):
+                node, pivots, marks = (path, part), [], None
+            if kind == 0:
+                pivots.append((rep, few))
+                continue
+            if marks is None:
+                marks = np.frombuffer(b"".join(x[1] for x in pivots), dtype=np.uint8).reshape(-1, COORDS)
+                names = [x[0] for x in pivots]
+            same = (marks == np.frombuffer(few, dtype=np.uint8)).sum(axis=1) if names else np.zeros(0, int)
+            like = np.flatnonzero(same >= AGREE_PIVOT)
+            if len(like):
+                first = names[like[0]]
+                joined |= {(first, names[i]) for i in like[1:]}
+                joined.add((first, rep))
+            if (same >= AGREE).sum() < max(1, len(names) * LIKE_PIVOTS // PIVOTS):
+                out.append((path, rep, None))
+        out += [(None, rep, pivot) for pivot, rep in joined if pivot != rep]
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(3)], ["path", "rep", "pivot"])
+
+
+def _settled(large: DataFrame) -> DataFrame:
+    """From rows (path, rep, few, n) of large nodes: links (rep, pivot), and (path, rep) that go on.
+    Pivots are chosen by hash, some PIVOTS of a node; a large node is dealt out in parts."""
+    parts = F.ceil(F.col("n") / SETTLED_ROWS)
+    chance = F.pmod(F.xxhash64("path", "rep"), F.lit(1 << 40)) / float(1 << 40)
+    pivots = large.where(chance < F.lit(PIVOTS) / F.col("n")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).withColumn("kind", F.lit(0))
+    rows = large.withColumn("part", F.pmod(F.xxhash64("rep"), parts)).withColumn("kind", F.lit(1))
+    names = ["path", "part", "kind", "rep", "few"]
+    both = pivots.select(*names).unionByName(rows.select(*names)).repartition("path", "part").sortWithinPartitions("path", "part", "kind")
+    return both.mapInArrow(_settle, "path long, rep long, pivot long")
 
 
 def _forest(few: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -172,19 +223,25 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def candidates(reps: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
     """Links (a, b) of rows of `reps` (rep, signature) whose signatures agree, enough to connect them."""
+    few = written(reps.mapInArrow(_few, "rep long, few binary"), "few")
     found: list[DataFrame] = []
     nodes = _branch(reps, True)
     for depth in range(1, DEPTH + 1):
-        nodes = nodes.repartition("path")
+        nodes = written(nodes, "paths")
         sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-        nodes = written(nodes.join(sizes, "path"), "nodes")
-        last = depth == DEPTH
-        small = nodes if last else nodes.where(F.col("n") <= node_limit)
-        found.append(small.repartition("path").sortWithinPartitions("path").mapInArrow(_compare, "a long, b long"))
+        nodes = written(nodes.join(sizes, "path").join(few, "rep"), "nodes")
+        small = nodes.where(F.col("n") <= node_limit).repartition("path").sortWithinPartitions("path")
+        found.append(small.mapInArrow(_compare, "a long, b long"))
         large = nodes.where(F.col("n") > node_limit)
-        if last or large.isEmpty():
+        if large.isEmpty():
             break
-        nodes = _branch(large.select("path", "rep").join(reps.select("rep", "signature"), "rep"), False)
+        settled = written(_settled(large), "settled")
+        found.append(settled.where("pivot is not null").select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
+        rest = settled.where("pivot is null").select("path", "rep")
+        if depth == DEPTH:  # what has shared this many tokens without being like others is one group
+            first = rest.groupBy("path").agg(F.min("rep").alias("b"))
+            found.append(rest.join(first, "path").where("rep <> b").select(F.col("rep").alias("a"), "b"))
+        nodes = _branch(rest.join(reps, "rep"), False)
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
