@@ -31,7 +31,7 @@ from dockflow.llm.textbytes import U, mix, text_of, word_hashes
 ALPHA, LEAST = 0.4, 2
 #: Rows of the unigram table that may be broadcast (12 bytes each).
 MOST_ROWS = 8_000_000
-BLOCK_WORDS, RANGE_WORDS, HELD_WORDS = 2_000_000, 2_000_000, 4_000_000
+BLOCK_WORDS, RANGE_WORDS, HELD_WORDS = 1_000_000, 1_500_000, 1_500_000
 #: With more ranges a block's rows would be too short to be worth packing.
 MOST_RANGES = 4096
 
@@ -95,6 +95,7 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
     names = counts.toArrow()  # at most MOST_ROWS rows
     words, n = names["word"].to_numpy().view(U), names["n"].to_numpy()
     order = np.argsort(words)
+    n = n.astype(np.uint32) if n.max(initial=0) < 1 << 32 else n
     shared = docs.sparkSession.sparkContext.broadcast((words[order], n[order]))
     width = (1 << 64) // ranges + 1
 
@@ -104,7 +105,7 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
         rows = np.concatenate([[0], np.cumsum(size)])
         first = np.concatenate([[0], *(h[3][1:] + sum(len(x[2]) for x in held[:i]) for i, h in enumerate(held))]).astype(np.int64)
         word = np.concatenate([h[2] for h in held])
-        f1 = f[np.searchsorted(known, word)] if len(word) else np.zeros(0, np.int64)
+        f1 = f[np.searchsorted(known, word)].astype(np.int64) if len(word) else np.zeros(0, np.int64)
         pair, at, owner = _pairs(word, first)
         base = np.bincount(owner, np.log(ALPHA * f1[at] / total), rows[-1])
         starts = first[:-1][np.diff(first) > 0]
@@ -124,7 +125,7 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
         for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
             if b > a:
                 i, j = np.searchsorted(kind, [a, b])
-                out.append((r, _pack(_apart(distinct[a:b]), left[a:b].astype(np.uint32), right[a:b].astype(np.uint32), np.diff(np.append(np.searchsorted(kind, np.arange(a, b)), j)).astype(np.uint32), owner[i:j].astype(np.uint32), times[i:j].astype(np.uint32))))
+                out.append((r, _pack(_apart(distinct[a:b]), left[a:b], right[a:b], np.diff(np.append(np.searchsorted(kind, np.arange(a, b)), j)).astype(np.uint32), owner[i:j].astype(np.uint32), times[i:j].astype(np.uint32))))
         n_words = np.diff(first)
         ids = pa.concat_arrays([pa.array(h[0]) for h in held]), np.concatenate([h[1] for h in held])
         table = pa.RecordBatch.from_arrays([ids[0], pa.array(ids[1]), pa.array(base), pa.array(n_words)], ["doc_id", "text_key", "base", "n"])
@@ -153,7 +154,7 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
                 for t in pa.ipc.open_stream(data[4:]):
                     yield pa.RecordBatch.from_arrays([pa.array([number] * len(t), pa.int64()), pa.array(np.arange(len(t))), t["base"], t["doc_id"], t["text_key"], t["n"]], OUT)
             else:
-                packed.append((number, _unpack(data, np.uint64, *[np.uint32] * 5)))
+                packed.append((number, _unpack(data, np.uint64, np.int64, np.int64, *[np.uint32] * 3)))
         if packed:
             sizes = [len(p[1][0]) for p in packed]
             at = np.unique(np.concatenate([np.cumsum(p[1][0], dtype=U) for p in packed]), return_inverse=True)[1]

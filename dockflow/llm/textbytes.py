@@ -44,7 +44,7 @@ def _powers(base: int, bits: int) -> np.ndarray:
 
 
 def powers(base: int, n: int) -> np.ndarray:
-    return _powers(base, max(22, int(n).bit_length()))
+    return _powers(base, max(20, int(n).bit_length()))
 
 
 def column_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
