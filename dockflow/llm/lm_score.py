@@ -34,6 +34,8 @@ MOST_ROWS = 8_000_000
 BLOCK_WORDS, RANGE_WORDS, HELD_WORDS = 1_000_000, 1_500_000, 1_500_000
 #: With more ranges a block's rows would be too short to be worth packing.
 MOST_RANGES = 4096
+#: Marks the row of a block that holds its documents.
+ROWS = b"rows"
 
 
 def _pairs(words: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -132,7 +134,7 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema) as w:
             w.write_batch(table)
-        out.append((number % ranges, b"rows" + sink.getvalue().to_pybytes()))
+        out.append((number % ranges, ROWS + sink.getvalue().to_pybytes()))
         return pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int32()), pa.array([number] * len(out), pa.int64()), pa.array([p for _, p in out], pa.binary())], ["part", "block", "packed"])
 
     def explode(batches):
@@ -147,12 +149,12 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
         if held:
             yield block(held, number)
 
-    def meet(held: list[tuple[int, int, bytes]]) -> Iterator[pa.RecordBatch]:
-        packed = []
+    def meet(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        """What the bigrams of a range add to the documents of each block."""
+        out, packed = [], []
         for _, number, data in held:
-            if data[:4] == b"rows":
-                for t in pa.ipc.open_stream(data[4:]):
-                    yield pa.RecordBatch.from_arrays([pa.array([number] * len(t), pa.int64()), pa.array(np.arange(len(t))), t["base"], t["doc_id"], t["text_key"], t["n"]], OUT)
+            if data[:4] == ROWS:
+                out.append((number, data))
             else:
                 packed.append((number, _unpack(data, np.uint64, np.int64, np.int64, *[np.uint32] * 3)))
         if packed:
@@ -164,25 +166,39 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
                 f = f2[low : low + len(left)]
                 gain = np.where(f >= least, np.log(f) - np.log(left) - np.log(ALPHA * right / total), 0.0)
                 more = np.bincount(owner.astype(np.int64), np.repeat(gain, per.astype(np.int64)) * times)
-                docs_here = np.flatnonzero(more)
-                none = pa.nulls(len(docs_here), pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([number] * len(docs_here), pa.int64()), pa.array(docs_here), pa.array(more[docs_here]), none, none, none], OUT)
+                rows = np.flatnonzero(more)
+                out.append((number, _pack(rows.astype(np.uint32), more[rows])))
+        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["block", "packed"])
+
+    def whole(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+        """The documents of a block with the sum of what all ranges add."""
+        (rows,) = (b for _, data in held if data[:4] == ROWS for b in pa.ipc.open_stream(data[4:]))
+        sums = rows["base"].to_numpy().copy()
+        for _, data in held:
+            if data[:4] != ROWS:
+                at, more = _unpack(data, np.uint32, np.float64)
+                sums[at] += more
+        return pa.RecordBatch.from_arrays([rows["doc_id"], rows["text_key"], rows["n"], pa.array(sums)], ["doc_id", "text_key", "n_words", "log_score"])
+
+    def by_run(job, *names: str):
+        """Batches sorted by the first of `names`; its equal values go to the job together."""
+
+        def run(batches):
+            held: list[tuple] = []
+            for batch in batches:
+                for row in zip(*(text_of(batch, k).to_pylist() for k in names), strict=True):
+                    if held and held[0][0] != row[0]:
+                        yield job(held)
+                        held = []
+                    held.append(row)
+            if held:
+                yield job(held)
+
+        return run
 
-    def score(batches):
-        held: list[tuple[int, int, bytes]] = []
-        for batch in batches:
-            for row in zip(*(text_of(batch, k).to_pylist() for k in ("part", "block", "packed")), strict=True):
-                if held and held[0][0] != row[0]:
-                    yield from meet(held)
-                    held = []
-                held.append(row)
-        if held:
-            yield from meet(held)
-
-    OUT = ["block", "row", "log_score", "doc_id", "text_key", "n"]
     exploded = keyed(docs).mapInArrow(explode, "part int, block long, packed binary")
-    met = exploded.repartition(ranges, "part").sortWithinPartitions("part", "block").mapInArrow(score, "block long, row long, log_score double, doc_id long, text_key long, n long")
-    return met.groupBy("block", "row").agg(F.max("doc_id").alias("doc_id"), F.max("text_key").alias("text_key"), F.max("n").alias("n_words"), F.sum("log_score").alias("log_score")).drop("block", "row")
+    met = exploded.repartition(ranges, "part").sortWithinPartitions("part", "block").mapInArrow(by_run(meet, "part", "block", "packed"), "block long, packed binary")
+    return met.repartition("block").sortWithinPartitions("block").mapInArrow(by_run(whole, "block", "packed"), "doc_id long, text_key long, n_words long, log_score double")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
