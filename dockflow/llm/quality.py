@@ -182,7 +182,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> dict:
                 x = features(text_of(piece))
                 yield pa.RecordBatch.from_arrays([text_of(piece, "label"), pa.array(list(x), pa.list_(pa.float64()))], ["label", "x"])
 
-    rows = docs.select("doc_id", "text").join(few, "doc_id").select("text", "label").mapInArrow(measure, "label int, x array<double>").toArrow()
+    rows = docs.select("doc_id", "text").join(F.broadcast(few), "doc_id").select("text", "label").mapInArrow(measure, "label int, x array<double>").toArrow()
     x = np.array(rows["x"].to_pylist(), dtype=float).reshape(-1, len(FEATURES))
     y = rows["label"].to_numpy().astype(float)
     order = np.lexsort([*x.T, y])  # the same sums whatever the order of arrival
