@@ -109,7 +109,7 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
         word = np.concatenate([h[2] for h in held])
         f1 = f[np.searchsorted(known, word)].astype(np.int64) if len(word) else np.zeros(0, np.int64)
         pair, at, owner = _pairs(word, first)
-        base = np.bincount(owner, np.log(ALPHA * f1[at] / total), rows[-1])
+        base = np.bincount(owner, np.log(ALPHA * f1[at] / total), rows[-1]).astype(float)  # without bigrams it counts in integers
         starts = first[:-1][np.diff(first) > 0]
         base[np.diff(first) > 0] += np.log(f1[starts] / total)
         by = np.argsort(pair, kind="stable")
