@@ -13,6 +13,17 @@ MICROS_PER_MINUTE = 60_000_000
 MICROS_PER_SECOND = 1_000_000
 
 
+def exact_sum(value: Column, times: Column | None = None) -> Column:
+    """Sum of whole numbers, each counted ``times`` times, beyond the range of BIGINT."""
+    big = value.cast("decimal(20,0)")
+    return F.sum(big if times is None else big * times.cast("decimal(18,0)"))
+
+
+def ratio(total: Column, count: Column, unit: int = 1) -> Column:
+    """total / (count * unit) in double; NULL if the count is 0."""
+    return F.try_divide(total.cast("double"), count.cast("double") * unit)
+
+
 def percent(part: Column, whole: Column, digits: int = 1) -> Column:
     """100 * part / whole; NULL if the whole is 0."""
     return F.round(F.try_divide(part * F.lit(100.0), whole), digits)

@@ -15,8 +15,9 @@ from dockflow.functions.trip import rides
 
 
 def _bin(value: Column, low: Column, high: Column, bins: int) -> Column:
-    scaled = (value - low) * bins
-    width = high - low
+    # In decimals: a ride that ends in 9999 times the number of bins is beyond BIGINT.
+    scaled = (value - low).cast("decimal(20,0)") * F.lit(bins).cast("decimal(6,0)")
+    width = (high - low).cast("decimal(20,0)")
     return F.least(((scaled - scaled % width) / width).cast("bigint"), F.lit(bins - 1)) + 1
 
 
@@ -62,6 +63,7 @@ def range_histogram(frame: DataFrame, value: Column, bins: int, unit: int) -> Da
 
 def _edges(low: Column, high: Column, bins: int, unit: int) -> list[Column]:
     def edge(index: Column) -> Column:
-        return (low * bins + index * (high - low)) / (bins * unit)
+        big = [x.cast("decimal(20,0)") for x in (low, high)]
+        return (big[0] * bins + index * (big[1] - big[0])).cast("double") / (bins * unit)
 
     return [edge(F.col("bin") - 1).alias("low"), edge(F.col("bin")).alias("high")]

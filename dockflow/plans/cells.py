@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from dockflow.functions.figures import exact_sum
 from dockflow.functions.trip import rides, with_labels
 from dockflow.plans import bikes, circular, growth, long_rides, overview, peaks, seasons, users
 
@@ -72,6 +73,6 @@ def calendar_cells(trips: DataFrame) -> DataFrame:
     cells = trips.groupBy(*GRAIN).agg(
         rides("n"),
         F.sum("total_secs").alias("total_secs"),
-        F.sum("total_us").alias("total_us"),
+        exact_sum(F.col("total_us")).alias("total_us"),
     )
     return with_labels(cells)

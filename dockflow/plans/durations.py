@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from dockflow.functions.figures import (
     MICROS_PER_MINUTE,
+    exact_sum,
     mean_minutes,
+    ratio,
     seconds_as_minutes,
 )
 from dockflow.functions.trip import CLASSIC, ELECTRIC, positive, rides, valid
@@ -82,7 +84,7 @@ def describe(frame: DataFrame, unit: int) -> DataFrame:
     """
     counts = counted(frame, [], "duration_us")
     value, n = F.col("duration_us"), F.col("n")
-    mean = F.try_divide(F.sum(value * n), F.sum(n) * unit)
+    mean = ratio(exact_sum(value, n), F.sum(n), unit)
     center = counts.agg(mean.alias("mean")).scalar()
     quartiles = wide_quantiles(
         counts, [], "duration_us", {"p25": 0.25, "p50": 0.5, "p75": 0.75}

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.functions.figures import MICROS_PER_MINUTE
+from dockflow.functions.figures import MICROS_PER_MINUTE, exact_sum, ratio
 from dockflow.functions.trip import SECONDS_PER_DAY, count_where, positive, rides
 from dockflow.operators.quantiles import counted, wide_quantiles
 from dockflow.operators.shares import long_counts, share_of
@@ -32,9 +32,9 @@ def overview_duration(trips: DataFrame) -> DataFrame:
     """Mean and median minutes, from one count per distinct duration."""
     counts = counted(positive(trips), [], "duration_us")
     median = wide_quantiles(counts, [], "duration_us", {"median": 0.5})
-    total, n = F.sum(F.col("duration_us") * F.col("n")), F.sum("n")
+    total = exact_sum(F.col("duration_us"), F.col("n"))
     return counts.agg(
-        F.round(F.try_divide(total, n * MICROS_PER_MINUTE), 1).alias("avg_min")
+        F.round(ratio(total, F.sum("n"), MICROS_PER_MINUTE), 1).alias("avg_min")
     ).select(
         "avg_min",
         F.round(median.select("median").scalar() / MICROS_PER_MINUTE, 1).alias("median_min"),

@@ -6,7 +6,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions.clock import day_name
-from dockflow.functions.figures import MICROS_PER_MINUTE, mean_minutes, seconds_as_minutes
+from dockflow.functions.figures import (
+    MICROS_PER_MINUTE,
+    exact_sum,
+    mean_minutes,
+    ratio,
+    seconds_as_minutes,
+)
 from dockflow.functions.trip import CASUAL, MEMBER, count_where, positive, rides, valid
 from dockflow.operators.axis import on_axis
 from dockflow.operators.quantiles import second_profile
@@ -61,5 +67,5 @@ def user_hour_pivot(trips: DataFrame) -> DataFrame:
 
 def user_avg_duration(trips: DataFrame) -> DataFrame:
     """Mean minutes, not rounded."""
-    mean = F.sum("total_us") / (F.sum("n") * MICROS_PER_MINUTE)
+    mean = ratio(exact_sum(F.col("total_us")), F.sum("n"), MICROS_PER_MINUTE)
     return positive(trips).groupBy("member_casual").agg(mean.alias("avg_duration_min"))

@@ -46,12 +46,12 @@ def scan_trip_files(
 
 
 def list_trip_files(spark: SparkSession, path: str) -> DataFrame:
-    """Name and size of the wanted files; their content is not read."""
+    """Name, size and path of the wanted files; their content is not read."""
     files = (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", WANTED)
         .option("recursiveFileLookup", "true")
         .load(path)
     )
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length")
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file_name"), "length", "path")
     return named.filter(~F.col("file_name").startswith(OTHER_SYSTEM))

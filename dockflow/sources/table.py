@@ -1,36 +1,101 @@
-"""The trip table: typed trips as Parquet, partitioned by the month of the start.
+"""The trip table: typed trips as Parquet, partitioned by load and the month of the start.
 
 Parsed once, read many times: a query reads the two or three columns it needs, and one that
 asks for certain months or years reads only their partitions. Weekday and hours are stored as
 numbers, a few bits a row; a query by month, weekday or hour touches no timestamp. Rows without a readable start
 are kept, in a partition of their own, since some counts are of all rows of a file.
+
+Every write is a load with a number and a folder of its own, and is over when its files stand in
+the manifest (``_loads``). Readers see the loads of the manifest alone; a load that died before
+that is written again under the same number. Batch writes and incremental loads keep the same
+manifest, so either can follow the other.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from dockflow.functions.trip import typed, with_calendar, with_numbers
+from dockflow.sources.schema import TRIP_FILE
 
 PARTITION = ("year", "month")
+MANIFEST = "file_name string, length long, rows long, load long"
 
 
 def table_rows(raw: DataFrame) -> DataFrame:
     return with_numbers(typed(raw))
 
 
+def manifest(spark: SparkSession, path: str) -> DataFrame:
+    """The files of the table: name, length (NULL if not known), rows, and the load they came in."""
+    try:
+        return spark.read.schema(MANIFEST).parquet(f"{path}/_loads")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], MANIFEST)
+
+
+def next_load(spark: SparkSession, path: str) -> int:
+    return (manifest(spark, path).agg(F.max("load")).first()[0] or 0) + 1
+
+
+def _stored(spark: SparkSession, path: str, load: int) -> DataFrame | None:
+    try:
+        return spark.read.parquet(f"{path}/load={load}")
+    except AnalysisException as error:
+        if error.getCondition() not in ("UNABLE_TO_INFER_SCHEMA", "PATH_NOT_FOUND"):
+            raise
+        return None
+
+
+def write_load(
+    rows: DataFrame, path: str, load: int, files: DataFrame | None = None, fresh: bool = False
+) -> None:
+    """Write one load and then enter it into the manifest, as one file that appears at once.
+
+    ``files`` (file_name, length) are its files; without it, those that the rows name. A
+    ``fresh`` load replaces the table, with its manifest.
+    """
+    spark = rows.sparkSession
+    if fresh:
+        numbered = rows.withColumn("load", F.lit(load))
+        numbered.write.mode("overwrite").partitionBy("load", *PARTITION).parquet(path)
+    else:
+        rows.write.mode("overwrite").partitionBy(*PARTITION).parquet(f"{path}/load={load}")
+    stored = _stored(spark, path, load)
+    named = F.col("file_name") if "file_name" in rows.columns else F.lit(None).cast("string")
+    empty = spark.createDataFrame([], "file_name string, rows long")
+    counts = empty if stored is None else stored.groupBy(named.alias("file_name")).agg(F.count(F.lit(1)).alias("rows"))
+    if files is None:
+        entries = counts.select("file_name", F.lit(None).cast("long").alias("length"), "rows")
+    else:
+        entries = files.join(counts, "file_name", "left").select("file_name", "length", F.coalesce("rows", F.lit(0)).alias("rows"))
+    entries.withColumn("load", F.lit(load).cast("long")).coalesce(1).write.mode("append").parquet(f"{path}/_loads")
+
+
 def write_trips(raw: DataFrame, path: str, gather: bool = True, mode: str = "overwrite") -> None:
-    """Write raw trips as the table.
+    """Write raw trips as the table (``overwrite``) or as one more load (``append``).
 
     ``gather=True`` brings the rows of a month together, in files of the advisory partition
     size; a month with a large share of all rows is split over many tasks. Rows read from
     monthly files are together already, and can be written without that shuffle.
     """
+    if mode not in ("overwrite", "append"):
+        raise ValueError(mode)
     rows = table_rows(raw)
     if gather:
         rows = rows.hint("rebalance", *PARTITION)
-    rows.write.mode(mode).partitionBy(*PARTITION).parquet(path)
+    fresh = mode == "overwrite"
+    write_load(rows, path, 1 if fresh else next_load(raw.sparkSession, path), fresh=fresh)
 
 
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
-    return with_calendar(spark.read.parquet(path))
+    loads = [r.load for r in manifest(spark, path).where("rows > 0").select("load").distinct().orderBy("load").collect()]
+    if not loads:
+        names = "file_name string, file_period string"
+        return with_calendar(table_rows(spark.createDataFrame([], TRIP_FILE.simpleString()[7:-1].replace(":", " ") + ", " + names)))
+    rows = spark.read.option("basePath", path).parquet(*(f"{path}/load={n}" for n in loads))
+    return with_calendar(rows.drop("load"))

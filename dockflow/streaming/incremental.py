@@ -1,66 +1,38 @@
 """Loading only the files that are new.
 
-The file source remembers, by file name, what it has read, and the file sink commits each
-batch as a whole. A run that loses executors or dies half-way leaves no partial rows behind;
-the next run carries on, and no file is ever loaded twice.
+A file is known by its name. Of files with one name the first counts: one in the table before any
+other, then the one whose path comes first. The wanted files are listed and set against the
+table's manifest, however old they are; those not in it are read and written as loads of the
+table, each entered into the manifest when it is complete. A run that dies leaves rows that no
+reader sees and that the next run writes again. A file without rows is entered like any other.
 """
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.sources.files import READ_OPTIONS, file_columns, list_trip_files, wanted_file
-from dockflow.sources.schema import TRIP_FILE
-from dockflow.sources.table import PARTITION, table_rows
-
-
-def load_new_files(
-    spark: SparkSession,
-    files: str,
-    table: str,
-    state: str,
-    files_per_batch: int = 1000,
-) -> None:
-    """Append the trips of files not loaded before to ``table``, then stop.
-
-    ``state`` is a folder next to the table, in storage all executors reach; it must stay
-    with the table.
-    """
-    arriving = (
-        spark.readStream.schema(TRIP_FILE)
-        .options(**READ_OPTIONS)
-        .option("fileNameOnly", "true")
-        .option("maxFilesPerTrigger", str(files_per_batch))
-        .csv(files)
-    )
-    rows = arriving.filter(wanted_file()).select(*TRIP_FILE.names, *file_columns())
-    load = (
-        table_rows(rows)
-        .writeStream.format("parquet")
-        .partitionBy(*PARTITION)
-        .option("path", table)
-        .option("checkpointLocation", state)
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    load.awaitTermination()
-
-
-def loaded_files(spark: SparkSession, table: str) -> DataFrame:
-    """Names of the files in the table: one column that is constant within a file."""
-    try:
-        rows = spark.read.parquet(table)
-    except AnalysisException:
-        return spark.createDataFrame([], "file_name string")
-    return rows.select("file_name").distinct()
+from dockflow.sources.files import list_trip_files, scan_trip_files
+from dockflow.sources.table import manifest, next_load, table_rows, write_load
 
 
 def load_plan(spark: SparkSession, files: str, table: str) -> DataFrame:
-    """Every wanted file as ``new`` or ``skipped``, before a load."""
-    known = loaded_files(spark, table).withColumn("known", F.lit(True))
-    listed = list_trip_files(spark, files).join(known, "file_name", "left")
-    status = F.when(F.col("known"), "skipped").otherwise("new")
-    return listed.select("file_name", "length", status.alias("status"))
+    """Every wanted file as ``new``, ``skipped`` (its name is in the table) or ``repeated`` (another
+    new file of the listing has its name), before a load."""
+    listed = list_trip_files(spark, files)
+    first = listed.groupBy("file_name").agg(F.min("path").alias("first"))
+    known = manifest(spark, table).select("file_name").distinct().withColumn("known", F.lit(True))
+    joined = listed.join(first, "file_name").join(known, "file_name", "left")
+    status = F.when(F.col("known"), "skipped").when(F.col("path") == F.col("first"), "new").otherwise("repeated")
+    return joined.select("file_name", "length", status.alias("status"), "path")
+
+
+def load_new_files(spark: SparkSession, files: str, table: str, files_per_load: int = 1000) -> None:
+    """Append the trips of files not loaded before to ``table``; the list of their names is all that
+    the driver holds."""
+    new = load_plan(spark, files, table).where("status = 'new'").orderBy("file_name").collect()
+    for at in range(0, len(new), files_per_load):
+        part = new[at : at + files_per_load]
+        rows = table_rows(scan_trip_files(spark, [f.path for f in part]))
+        named = spark.createDataFrame([(f.file_name, f.length) for f in part], "file_name string, length long")
+        write_load(rows, table, next_load(spark, table), named)

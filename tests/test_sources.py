@@ -13,7 +13,7 @@ from dockflow.plans.reports import DOCUMENTS, SECTIONS, write_reports
 from dockflow.sources.files import list_trip_files, scan_trip_files
 from dockflow.sources.results import read_result, write_result
 from dockflow.sources.schema import TRIP_FILE
-from dockflow.sources.table import read_trips, write_trips
+from dockflow.sources.table import next_load, read_trips, table_rows, write_trips
 from dockflow.sources.warehouse import raw_trips
 from dockflow.streaming.incremental import load_new_files, load_plan
 from tests.compare import spark_rows
@@ -161,13 +161,13 @@ def test_cells_give_the_same_answers(spark, table, cells, name):
 
 
 def test_incremental_load(spark, files, run_dir):
-    table, state = os.path.join(run_dir, "trips"), os.path.join(run_dir, "state")
+    table = os.path.join(run_dir, "trips")
 
     def plan():
         return {r.file_name: r.status for r in load_plan(spark, files, table).collect()}
 
     assert set(plan().values()) == {"new"}
-    load_new_files(spark, files, table, state, files_per_batch=2)
+    load_new_files(spark, files, table, files_per_load=2)
     assert set(plan().values()) == {"skipped"}
     assert read_trips(spark, table).count() == 10
 
@@ -175,14 +175,57 @@ def test_incremental_load(spark, files, run_dir):
     # Known by its name, wherever it lies.
     put(files, "again/202301-tripdata_1.csv", ROWS)
     assert [name for name, status in plan().items() if status == "new"] == ["202402-tripdata_1.csv"]
-    load_new_files(spark, files, table, state)
-    load_new_files(spark, files, table, state)
+    load_new_files(spark, files, table)
+    load_new_files(spark, files, table)
     stored = read_trips(spark, table)
     assert stored.count() == 11
     assert stored.filter("file_period = '202402'").count() == 1
     assert stored.filter("year = 2023").count() == 4
 
 
+def test_load_loses_nothing(spark, files, run_dir):
+    table = os.path.join(run_dir, "trips")
+    count = lambda: read_trips(spark, table).count()
+    assert count() == 0
+    write_trips(scan_trip_files(spark, files), table, gather=False)
+    assert count() == 10
+    # Much older than the newest file.
+    put(files, "201901-tripdata.csv", ROWS[:2])
+    (old,) = [os.path.join(d, f) for d, _, names in os.walk(files) for f in names if f.startswith("201901")]
+    os.utime(old, (0, 0))
+    load_new_files(spark, files, table)
+    assert count() == 12
+    write_trips(scan_trip_files(spark, old), table, mode="append")
+    assert count() == 14
+    # One name in two folders of one run: the first path counts. A header alone is a file as well.
+    put(files, "a/202405-tripdata.csv", ROWS[:1])
+    put(files, "b/202405-tripdata.csv", ROWS[:3])
+    put(files, "202406-tripdata.csv", [])
+    plan = {(r.path.split("/")[-2], r.file_name): r.status for r in load_plan(spark, files, table).collect()}
+    assert (plan["a", "202405-tripdata.csv"], plan["b", "202405-tripdata.csv"]) == ("new", "repeated")
+    load_new_files(spark, files, table)
+    assert count() == 15
+    assert {r.status for r in load_plan(spark, files, table).collect()} == {"skipped"}
+    # A run that died before the manifest: its rows aren't seen, and its number is used again.
+    put(files, "202407-tripdata.csv", ROWS[:1])
+    load = next_load(spark, table)
+    table_rows(scan_trip_files(spark, old)).write.partitionBy("year", "month").parquet(f"{table}/load={load}")
+    assert count() == 15
+    load_new_files(spark, files, table)
+    assert count() == 16 and next_load(spark, table) == load + 1
+
+
+def test_no_overflow(spark):
+    """Rows that stand for many rides, sums beyond BIGINT, and rides that end in 9999."""
+    frame = prepare(raw(spark)).withColumns({"n": F.lit(10**12), "total_us": F.col("duration_us") * 10**8})
+    frame = frame.union(frame)
+    for name in ("user_avg_duration", "overview_duration", "duration_describe", "long_ride_describe"):
+        QUERIES[name](frame).collect()
+    last = raw(spark).withColumn("ended_at", F.lit("9999-12-31 00:00:00"))
+    for name in ("long_ride_histogram", "duration_histogram", "user_avg_duration", "overview_duration", "duration_describe"):
+        QUERIES[name](prepare(last)).collect()
+
+
 def test_results(spark, run_dir):
     path = os.path.join(run_dir, "result")
     with pytest.raises(FileNotFoundError):
