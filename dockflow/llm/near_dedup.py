@@ -5,9 +5,8 @@ branched: a tree sends a document down from a node along `BRANCH` minwise tokens
 node, to the children named by these tokens, so that documents that share chosen paths meet.
 Nodes of at most `node_limit` documents are compared exhaustively (on signatures). In larger ones
 the documents that are like many of the node's `PIVOTS` pivots are settled by links to them, so
-that a group of copies doesn't multiply; the others branch again. `TREES` independent trees take the recall of a link at the threshold beyond
-1 - 1e-6 (a tree finds such a link with a chance of 0.94 at its first level and above 0.9 however
-deep it goes). What the comparison proposes joins documents to candidate groups, and every
+that a group of copies doesn't multiply; the others branch again. Of two documents at the threshold a tree finds the link with a chance of 0.94
+at its first level and about 0.9 or more deeper down; `TREES` of them miss it with 1e-8 or less. What the comparison proposes joins documents to candidate groups, and every
 candidate group is decided on full shingle sets, which travel once.
 
 A large group is decided in blocks of bounded size: all blocks against one block, then what that
@@ -36,7 +35,7 @@ WORDS, PERCENT = 5, 75
 COORDS, TREES, BRANCH, DEPTH = 64, 8, 2, 12
 NODE_LIMIT = 1000
 PIVOTS, LIKE_PIVOTS = 48, 6
-#: Signatures of documents at the threshold agree in fewer places with a chance of about 2e-6.
+#: Signatures of documents at the threshold agree in fewer places with a chance of about 5e-06.
 AGREE = COORDS // 2
 #: For links to pivots: what is near to a settled document is still near to its pivots.
 AGREE_PIVOT = COORDS * 2 // 5
