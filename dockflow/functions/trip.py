@@ -33,10 +33,10 @@ def typed(raw: DataFrame) -> DataFrame:
 
 
 def _in_range(value: Column, low: int, beyond: int) -> Column:
-    """low <= value < beyond, mentioning the value once.
+    """low <= value < beyond, mentioning the value once: for raw trips.
 
     A pair of comparisons would, as a pushed-down filter over raw trips, parse both
-    timestamps twice for every row.
+    timestamps twice for every row. On a stored table it is what Parquet statistics can use.
     """
     return F.width_bucket(value, F.lit(low), F.lit(beyond), F.lit(1)) == 1
 
@@ -59,12 +59,13 @@ def with_labels(frame: DataFrame) -> DataFrame:
 
 
 def with_numbers(trips: DataFrame) -> DataFrame:
-    """Add the calendar numbers of the start and the hour of the end.
+    """Add the calendar numbers of the start, the hour of the end, and whether there is a ride id.
 
-    Each is NULL exactly where its timestamp is.
+    Each number is NULL exactly where its timestamp is. The flag spares counts of ids the ids.
     """
     return trips.withColumns(
         {
+            "has_ride_id": F.col("ride_id").isNotNull(),
             "year": F.year("started_at"),
             "month": F.month("started_at"),
             "dow": clock.iso_weekday(F.col("started_at")),
@@ -79,16 +80,18 @@ def with_calendar(trips: DataFrame) -> DataFrame:
 
     A stored table has the numbers: there, a query by month or hour reads no timestamps.
     """
+    seconds = F.col("duration_secs")
+    in_a_day = seconds.between(1, SECONDS_PER_DAY - 1)
     if "end_hour" not in trips.columns:
         trips = with_numbers(trips)
-    seconds = F.col("duration_secs")
+        in_a_day = _in_range(seconds, 1, SECONDS_PER_DAY)
     has_start, has_end = F.col("year").isNotNull(), F.col("end_hour").isNotNull()
     derived = trips.withColumns(
         {
             "is_circular": F.col("start_station_name") == F.col("end_station_name"),
             "is_started": has_start,
             "is_bounded": has_start & has_end,
-            "is_valid": _in_range(seconds, 1, SECONDS_PER_DAY),
+            "is_valid": in_a_day,
             "is_positive": F.col("duration_us") > 0,
             "n": F.lit(1).cast("bigint"),
             "total_secs": seconds,

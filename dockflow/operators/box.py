@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.operators.quantiles import counted, wide_quantiles
+from dockflow.operators.quantiles import per_type, wide_quantiles
 
 REACH = 1.5
 
@@ -14,16 +14,16 @@ def box_statistics(frame: DataFrame, key: str, value: Column, unit: int) -> Data
     """Quartiles, whiskers and number of fliers per key, in units of ``unit``.
 
     A whisker ends at the outermost value within 1.5 quartile ranges of the box, and never
-    inside the box; values beyond it are fliers. Everything is computed from (key, value)
-    counts: the quartiles, and then one pass over the counts next to the quartiles of their
-    key. ``key`` is a type-like column: the quartiles, one row per value of it, are broadcast.
+    inside the box; values beyond it are fliers. After the quartiles, one read of the rides next
+    to the quartiles of their key, combined on the map side to a row per key.
     """
-    counts = counted(frame.select(key, "n", value.alias("_value")), [key], "_value")
+    values = frame.select(key, "n", value.alias("_value"))
     quartiles = wide_quantiles(
-        counts, [key], "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75}
+        values, [key], "_value", {"q1": 0.25, "median": 0.5, "q3": 0.75}
     ).withColumnRenamed(key, "_key")
     fence = REACH * (F.col("q3") - F.col("q1"))
-    placed = counts.join(F.broadcast(quartiles), F.col(key).eqNullSafe(F.col("_key"))).withColumns(
+    same = F.col(key).eqNullSafe(F.col("_key"))
+    placed = values.join(per_type(quartiles, [key]), same).withColumns(
         {
             "_above": F.col("_value") > F.col("q3") + fence,
             "_below": F.col("_value") < F.col("q1") - fence,

@@ -1,7 +1,7 @@
 """Equal-width histograms over exact integer micros.
 
 The bin of a value is computed with integer division, and the last bin includes its upper
-edge. Only bins that hold a ride are listed; each row carries its own edges.
+edge. Every bin is listed, 0 where it holds no ride; each row carries its own edges.
 """
 
 from __future__ import annotations
@@ -30,20 +30,19 @@ def fixed_histogram(
     unit: int,
     keys: Sequence[str] = (),
 ) -> DataFrame:
-    """Rides per bin of ``low..high``; values outside are not counted."""
-    inside = frame.select(*keys, "n", value.alias("_value")).filter(
-        F.col("_value").between(low, high)
-    )
+    """Rides per bin of ``low..high``, for every label that occurs; values outside are not counted."""
+    values = frame.select(*keys, "n", value.alias("_value"))
     edges = [F.lit(low), F.lit(high)]
-    counts = inside.groupBy(*keys, _bin(F.col("_value"), *edges, bins).alias("bin")).agg(rides())
-    return counts.select(*keys, "bin", *_edges(*edges, bins, unit), "rides")
+    inside = F.when(F.col("_value").between(low, high), _bin(F.col("_value"), *edges, bins))
+    counts = values.groupBy(*keys, inside.alias("bin")).agg(rides())
+    return _every_bin(counts, keys, bins).select(*keys, "bin", *_edges(*edges, bins, unit), "rides")
 
 
 def range_histogram(frame: DataFrame, value: Column, bins: int, unit: int) -> DataFrame:
     """Rides per bin of the observed range; a single value sits in a range of one unit.
 
     The range is a scalar subquery over the same single column, then the bins are counted:
-    two pruned scans, and no more than ``bins`` rows per task in the only shuffle.
+    two pruned scans, and no more than ``bins`` rows per task in the only large shuffle.
     """
     values = frame.select("n", value.alias("_value"))
     low, high = F.min("_value"), F.max("_value")
@@ -58,7 +57,17 @@ def range_histogram(frame: DataFrame, value: Column, bins: int, unit: int) -> Da
         .agg(rides())
     )
     edges = [F.col("_span.low"), F.col("_span.high")]
-    return counts.select("bin", *_edges(*edges, bins, unit), "rides")
+    return _every_bin(counts, ["_span"], bins).select("bin", *_edges(*edges, bins, unit), "rides")
+
+
+def _every_bin(counts: DataFrame, keys: Sequence[str], bins: int) -> DataFrame:
+    """``bins`` rows per key, from at most one row (keys, bin, rides) for each."""
+    held = F.collect_list(F.when(F.col("bin").isNotNull(), F.struct("bin", "rides")))
+    axis = F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))
+    listed = counts.groupBy(*keys).agg(F.map_from_entries(held).alias("_held"))
+    return listed.select(*keys, "_held", F.explode(axis).alias("bin")).withColumn(
+        "rides", F.coalesce(F.try_element_at("_held", F.col("bin")), F.lit(0))
+    )
 
 
 def _edges(low: Column, high: Column, bins: int, unit: int) -> list[Column]:

@@ -1,7 +1,7 @@
 """Quantiles that stay distributed.
 
 Spark's quantile aggregates send one sketch or one value map per task to the single task
-that owns the group. Here durations are counted first, by (group, duration): that shuffle
+that owns the group. Here rides are counted first, by (group, whole second): that shuffle
 is combined on the map side and spread over all reducers. What follows works on distinct
 durations, however many rides share them.
 """
@@ -10,11 +10,19 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from dockflow.functions.figures import MICROS_PER_SECOND
-from dockflow.functions.trip import rides
+from dockflow.functions.trip import SECONDS_PER_DAY, rides
+
+#: Columns with a handful of values: what has a few rows for each of them may be broadcast.
+TYPE_LIKE = frozenset(("rideable_type", "member_casual", "route_kind", "label", "season"))
+
+
+def per_type(frame: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``frame``, a few rows per value of ``keys``, with a broadcast hint if that has a bound."""
+    return F.broadcast(frame) if TYPE_LIKE.issuperset(keys) else frame
 
 
 def counted(trips: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
@@ -72,81 +80,45 @@ def ranked_profile(
 
 
 def wide_quantiles(
-    counts: DataFrame,
-    keys: Sequence[str],
-    value: str,
-    quantiles: Mapping[str, float],
-    bucket: int = MICROS_PER_SECOND,
+    frame: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
 ) -> DataFrame:
-    """Exact interpolated quantiles of any number of distinct integer values per group.
+    """Exact interpolated quantiles of any number of distinct values (whole micros) per group.
 
-    ``counts`` is a result of ``counted``. First the values are counted in buckets of width
-    ``bucket``, which tells in which bucket each wanted rank lies and at which offset. Only
-    those buckets (at most two per quantile and group) are then ordered value by value. No
-    task ever holds a group: it streams over the buckets of one group, or over the values of
-    one bucket.
-
-    ``keys`` are type-like columns with a handful of values: the wanted buckets are broadcast,
-    two rows at most per quantile and group.
+    A first read counts the rides per second. The wanted ranks are then looked up level by
+    level: among the days of a group, among the seconds of the wanted days, and, in a second
+    read that keeps the rides of the wanted seconds alone, among their values. No task holds a
+    group: it streams over the days of one group, the 86,400 seconds of a day, or the values
+    of one second. Values are shuffled for the wanted seconds only, two per quantile and group.
     """
     names = list(quantiles)
-    by_key = [*keys, "_bucket"]
-    bucketed = counts.withColumn("_bucket", F.floor(F.col(value) / bucket))
-
-    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
-    upto = group.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    buckets = (
-        bucketed.groupBy(*by_key)
-        .agg(F.sum("n").alias("_size"))
-        .withColumns(
-            {"_upto": F.sum("_size").over(upto), "_total": F.sum("_size").over(group)}
-        )
-        .withColumn("_before", F.col("_upto") - F.col("_size"))
+    day = F.floor(F.col("_second") / SECONDS_PER_DAY)
+    placed = frame.select(*keys, "n", F.col(value).alias("_value")).withColumn(
+        "_second", F.floor(F.col("_value") / MICROS_PER_SECOND)
     )
+    seconds = counted(placed, keys, "_second").withColumn("_day", day)
 
-    def position(p: float) -> Column:
-        return F.lit(p) * (F.col("_total") - 1)
-
-    def target(index: int, rank: Column) -> Column:
-        return F.struct(F.lit(index).alias("which"), (rank - F.col("_before")).alias("offset"))
+    def position(p: float, total: str) -> Column:
+        return F.lit(p) * (F.col(total) - 1)
 
+    group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
+    days = seconds.groupBy(*keys, "_day").agg(F.sum("n").alias("n"))
     ranks = []
     for i, name in enumerate(names):
-        ranks.append(target(2 * i, F.floor(position(quantiles[name]))))
-        ranks.append(target(2 * i + 1, F.ceil(position(quantiles[name]))))
-    targets = buckets.select(
-        *by_key,
-        "_total",
-        F.filter(
-            F.array(*ranks), lambda t: (t.offset >= 0) & (t.offset < F.col("_size"))
-        ).alias("_targets"),
-    ).filter(F.size("_targets") > 0)
-
-    # Null-safe, since an unknown bike or user type is a group too. For the bucket it keeps the
-    # join from adding a not-null filter below the counts, which are then computed only once.
-    wanted = targets.select(
-        *[F.col(key).alias(f"_t_{key}") for key in by_key], "_total", "_targets"
-    )
-    on = [F.col(key).eqNullSafe(F.col(f"_t_{key}")) for key in by_key]
-    inner = Window.partitionBy(*by_key).orderBy(value)
-    inner = inner.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    values = (
-        bucketed.join(F.broadcast(wanted), on)
-        .withColumn("_upto", F.sum("n").over(inner))
-        .withColumn(
-            "_hits",
-            F.filter(
-                "_targets",
-                lambda t: (t.offset >= F.col("_upto") - F.col("n")) & (t.offset < F.col("_upto")),
-            ),
-        )
-        .select(*keys, value, "_total", F.explode("_hits").alias("_hit"))
-    )
+        for which, whole in ((2 * i, F.floor), (2 * i + 1, F.ceil)):
+            rank = whole(position(quantiles[name], "_total"))
+            ranks.append(F.struct(F.lit(which).alias("which"), rank.alias("offset")))
+    days = days.withColumn("_total", F.sum("n").over(group)).withColumn("_targets", F.array(*ranks))
+    wanted = _holding(days, keys, "_day", group)
+    wanted = _holding(_inside(seconds, wanted, [*keys, "_day"]), [*keys, "_day"], "_second")
+    by_second = [*keys, "_second"]
+    values = _inside(placed, wanted.drop("_day"), by_second)
+    values = values.groupBy(*by_second, "_total", "_targets", "_value").agg(rides("n"))
+    hits = _holding(values, by_second, "_value").withColumn("_hit", F.explode("_targets"))
 
     def found(index: int) -> Column:
-        return F.max(F.when(F.col("_hit.which") == index, F.col(value)))
+        return F.max(F.when(F.col("_hit.which") == index, F.col("_value")))
 
-    picked = values.groupBy(*keys).agg(
+    picked = hits.groupBy(*keys).agg(
         F.max("_total").alias("_total"),
         *[found(2 * i).alias(f"_low_{i}") for i in range(len(names))],
         *[found(2 * i + 1).alias(f"_high_{i}") for i in range(len(names))],
@@ -154,6 +126,31 @@ def wide_quantiles(
     between = []
     for i, name in enumerate(names):
         low, high = F.col(f"_low_{i}"), F.col(f"_high_{i}")
-        place = position(quantiles[name])
+        place = position(quantiles[name], "_total")
         between.append((low + (place - F.floor(place)) * (high - low)).alias(name))
     return picked.select(*keys, *between)
+
+
+def _holding(
+    counts: DataFrame, group: Sequence[str], step: str, window: WindowSpec | None = None
+) -> DataFrame:
+    """The ``step`` values of each group that hold wanted ranks, with the offsets inside them."""
+    upto = (window or Window.partitionBy(*group)).orderBy(step)
+    upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = F.col("_upto") - F.col("n")
+    held = F.filter("_targets", lambda t: (t.offset >= before) & (t.offset < F.col("_upto")))
+    moved = F.transform(
+        held, lambda t: F.struct(t.which.alias("which"), (t.offset - before).alias("offset"))
+    )
+    kept = counts.withColumn("_upto", F.sum("n").over(upto)).withColumn("_targets", moved)
+    return kept.filter(F.size("_targets") > 0).select(*group, step, "_total", "_targets")
+
+
+def _inside(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows of the wanted groups; null-safe, since an unknown type is a group too."""
+    there = wanted.select(
+        *[F.col(key).alias(f"_t_{key}") for key in keys], "_total", "_targets"
+    )
+    on = [F.col(key).eqNullSafe(F.col(f"_t_{key}")) for key in keys]
+    types = [key for key in keys if not key.startswith("_")]
+    return rows.join(per_type(there, types), on).drop(*[f"_t_{key}" for key in keys])

@@ -12,6 +12,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+MOST_BROADCAST = 100_000
+
+
 def by_name(*names: str) -> list[Column]:
     return [F.asc_nulls_last(name) for name in names]
 
@@ -21,6 +24,11 @@ def top(frame: DataFrame, k: int, *order: Column) -> DataFrame:
     return frame.orderBy(*order).limit(k)
 
 
+def few(frame: DataFrame, k: int) -> DataFrame:
+    """``frame``, at most k rows, with a broadcast hint unless k is large."""
+    return F.broadcast(frame) if k <= MOST_BROADCAST else frame
+
+
 def top_per_group(
     frame: DataFrame, group: Sequence[str], k: int, *order: Column, rank: str = "rank"
 ) -> DataFrame:

@@ -58,6 +58,8 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
         durations.duration_by_bike,
         durations.duration_by_bike_user,
         durations.duration_percentiles,
+        durations.duration_sketch_by_bike,
+        durations.duration_sketch_by_bike_user,
         durations.duration_by_bike_exact,
         durations.duration_describe,
         durations.duration_histogram,
@@ -104,5 +106,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
         overview.overview_mix,
         overview.overview_duration,
         overview.load_profile,
+        overview.file_selection,
+        overview.file_load_plan,
     )
 }

@@ -94,8 +94,12 @@ def circular_split(trips: DataFrame) -> DataFrame:
 
 
 def circular_user_share(trips: DataFrame) -> DataFrame:
-    """User types among circular rides, next to user types among all rides."""
-    counts = positive(trips).groupBy("member_casual").agg(_circular(), rides("total_rides"))
+    """User types among circular rides, next to user types among all rides.
+
+    A ride without a user type is in no share, nor in the whole.
+    """
+    named = positive(trips).filter(F.col("member_casual").isNotNull())
+    counts = named.groupBy("member_casual").agg(_circular(), rides("total_rides"))
     return counts.select(
         "member_casual",
         share_of("circular_rides").alias("circular_pct"),

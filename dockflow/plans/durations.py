@@ -9,16 +9,18 @@ from pyspark.sql import functions as F
 
 from dockflow.functions.figures import (
     MICROS_PER_MINUTE,
+    MICROS_PER_SECOND,
     exact_sum,
     mean_minutes,
     ratio,
     seconds_as_minutes,
 )
-from dockflow.functions.trip import CLASSIC, ELECTRIC, positive, rides, valid
+from dockflow.functions.trip import CLASSIC, ELECTRIC, count_where, positive, rides, valid
 from dockflow.operators.box import box_statistics
 from dockflow.operators.histogram import range_histogram
 from dockflow.operators.quantiles import (
     counted,
+    per_type,
     ranked_profile,
     second_profile,
     wide_quantiles,
@@ -70,6 +72,48 @@ def duration_percentiles(trips: DataFrame, sketch: bool = False) -> DataFrame:
     return profile.select(*[seconds_as_minutes(F.col(name)).alias(name) for name in SPREAD])
 
 
+def _within(
+    trips: DataFrame, keys: Sequence[str], quantiles: dict[str, float], sketch: Column
+) -> DataFrame:
+    """Rows (keys, quantile, rides, exact_min, within): whether the sketched value lies within the
+    sketch's rank error of the wanted rank, next to the exact value of that rank."""
+    rows = valid(trips)
+    sketched = rows.groupBy(*keys).agg(sketch.alias("_sketch"))
+    seconds = _beside(counted(rows, keys, "duration_secs"), sketched, keys)
+    value = {name: F.col("_sketch")[i] for i, name in enumerate(quantiles)}
+    at = F.col("duration_secs")
+    ranked = seconds.groupBy(*keys).agg(
+        *[count_where(at < value[name], f"below_{name}") for name in quantiles],
+        *[count_where(at <= value[name], f"upto_{name}") for name in quantiles],
+    )
+    slack = F.ceil(F.col("rides") / SKETCH_ACCURACY)
+    found = []
+    for name, p in quantiles.items():
+        rank = F.ceil(F.col("rides") * p)
+        near = (F.col(f"below_{name}") < rank + slack) & (F.col(f"upto_{name}") >= rank - slack)
+        exact = seconds_as_minutes(F.col(name)).alias("exact_min")
+        found.append(F.struct(F.lit(name).alias("quantile"), exact, near.alias("within")))
+    both = _beside(ranked_profile(rows, keys, quantiles), ranked, keys)
+    return both.select(*keys, "rides", F.inline(F.array(*found)))
+
+
+def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    own = right.withColumnsRenamed({key: f"_r_{key}" for key in keys})
+    return left.join(per_type(own, keys), [F.col(key).eqNullSafe(F.col(f"_r_{key}")) for key in keys])
+
+
+def duration_sketch_by_bike(trips: DataFrame) -> DataFrame:
+    """Spark's approximate percentile per bike type, held against the exact ranks."""
+    each = [F.percentile_approx("duration_secs", p, SKETCH_ACCURACY) for p in TYPICAL.values()]
+    return _within(trips, ["rideable_type"], TYPICAL, F.array(*each))
+
+
+def duration_sketch_by_bike_user(trips: DataFrame) -> DataFrame:
+    """The same for seven points at once, per bike and user type."""
+    points = F.percentile_approx("duration_secs", list(SPREAD.values()), SKETCH_ACCURACY)
+    return _within(trips, ["rideable_type", "member_casual"], SPREAD, points)
+
+
 def duration_by_bike_exact(trips: DataFrame) -> DataFrame:
     """As ``duration_by_bike``, with exact interpolated quantiles."""
     profile = second_profile(valid(trips), ["rideable_type"], TYPICAL)
@@ -79,26 +123,38 @@ def duration_by_bike_exact(trips: DataFrame) -> DataFrame:
 def describe(frame: DataFrame, unit: int) -> DataFrame:
     """count, mean, sample deviation, minimum, quartiles and maximum of ``duration_us``.
 
-    All of it comes from one count per distinct duration. The deviation is taken from the
-    mean in a second pass over those counts, which loses no digits to cancellation.
+    All but the quartiles come from one row per whole second: its rides, and the sums of what
+    they go beyond it, plain and squared. The deviation is added up around the mean, which loses
+    no digits to cancellation.
     """
-    counts = counted(frame, [], "duration_us")
-    value, n = F.col("duration_us"), F.col("n")
-    mean = ratio(exact_sum(value, n), F.sum(n), unit)
-    center = counts.agg(mean.alias("mean")).scalar()
-    quartiles = wide_quantiles(
-        counts, [], "duration_us", {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    rest = F.col("duration_us") % MICROS_PER_SECOND
+    n, base, over = F.col("n"), F.col("_base"), F.col("_over")
+    seconds = (
+        frame.select("n", "duration_us", (F.col("duration_us") - rest).alias("_base"), rest.alias("_over"))
+        .groupBy("_base")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum(over * n).alias("_over"),
+            F.sum(over.cast("double") * over * n).alias("_squares"),
+            F.min("duration_us").alias("_low"),
+            F.max("duration_us").alias("_high"),
+        )
     )
+    total = exact_sum(base, n) + exact_sum(over)
+    mean = ratio(total, F.sum(n), unit)
+    center = seconds.agg(mean.alias("mean")).scalar()
+    quartiles = wide_quantiles(frame, [], "duration_us", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     points = quartiles.select(F.struct("p25", "p50", "p75")).scalar()
-    squares = F.sum(n * F.pow(value / unit - F.col("center"), F.lit(2)))
+    off = base / unit - F.col("center")
+    squares = F.sum(n * off * off + 2 * off * over / unit + F.col("_squares") / unit / unit)
     summary = (
-        counts.withColumn("center", center)
+        seconds.withColumn("center", center)
         .agg(
             F.coalesce(F.sum(n), F.lit(0)).alias("count"),
             mean.alias("mean"),
             F.sqrt(F.try_divide(squares, F.sum(n) - 1)).alias("std"),
-            (F.min(value) / unit).alias("min"),
-            (F.max(value) / unit).alias("max"),
+            (F.min("_low") / unit).alias("min"),
+            (F.max("_high") / unit).alias("max"),
         )
         .withColumn("points", points)
     )

@@ -60,12 +60,13 @@ def yoy_totals(trips: DataFrame, base: int = 2023, compare: int = 2024) -> DataF
 def yoy_same_month(
     trips: DataFrame, base_period: str = "202306", compare_period: str = "202406"
 ) -> DataFrame:
-    """Every row of the files of two months: all rides, members, casual riders."""
+    """Every row of the files of two months: all rides, members, casual riders, and the rest."""
     chosen = trips.filter(F.col("file_period").isin(base_period, compare_period))
     groups = {
         "total": F.lit(True),
         "member": F.col("member_casual") == MEMBER,
         "casual": F.col("member_casual") == CASUAL,
+        "other": ~F.coalesce(F.col("member_casual").isin(MEMBER, CASUAL), F.lit(False)),
     }
     totals = chosen.agg(
         *[

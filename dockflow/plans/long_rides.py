@@ -45,7 +45,9 @@ def long_ride_split(trips: DataFrame, minutes: int = LONG_MINUTES) -> DataFrame:
 
 
 def user_share(trips: DataFrame) -> DataFrame:
-    counts = positive(trips).groupBy("member_casual").agg(rides())
+    """A ride without a user type is in no share, nor in the whole."""
+    named = positive(trips).filter(F.col("member_casual").isNotNull())
+    counts = named.groupBy("member_casual").agg(rides())
     return counts.withColumn("pct", share_of("rides"))
 
 

@@ -2,22 +2,46 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from dockflow.functions.figures import MICROS_PER_MINUTE, exact_sum, ratio
 from dockflow.functions.trip import SECONDS_PER_DAY, count_where, positive, rides
-from dockflow.operators.quantiles import counted, wide_quantiles
+from dockflow.operators.quantiles import wide_quantiles
 from dockflow.operators.shares import long_counts, share_of
+from dockflow.sources.files import period_of, wanted_name, with_status
 
 
 def overview_counts(trips: DataFrame) -> DataFrame:
-    return positive(trips).agg(
+    """Rides, stations in use and the first and last start.
+
+    Rides are combined to station pairs first; each pair then names its two stations.
+    """
+    pairs = (
+        positive(trips)
+        .groupBy("start_station_name", "end_station_name")
+        .agg(rides("n"), F.min("started_at").alias("first"), F.max("started_at").alias("last"))
+    )
+
+    def station(name: str, is_start: bool) -> Column:
+        n = F.col("n") if is_start else F.lit(0).cast("bigint")
+        return F.struct(F.col(name).alias("station"), F.lit(is_start).alias("is_start"), n.alias("n"), "first", "last")
+
+    ends = [station("start_station_name", True), station("end_station_name", False)]
+    stations = (
+        pairs.select(F.inline(F.array(*ends)))
+        .groupBy("station", "is_start")
+        .agg(rides("n"), F.min("first").alias("first"), F.max("last").alias("last"))
+    )
+    named = F.col("station").isNotNull()
+    return stations.agg(
         rides("total_rides"),
-        F.count_distinct("start_station_name").alias("start_stations"),
-        F.count_distinct("end_station_name").alias("end_stations"),
-        F.min("started_at").alias("first_start"),
-        F.max("started_at").alias("last_start"),
+        F.count_if(named & F.col("is_start")).alias("start_stations"),
+        F.count_if(named & ~F.col("is_start")).alias("end_stations"),
+        F.min("first").alias("first_start"),
+        F.max("last").alias("last_start"),
     )
 
 
@@ -29,13 +53,11 @@ def overview_mix(trips: DataFrame) -> DataFrame:
 
 
 def overview_duration(trips: DataFrame) -> DataFrame:
-    """Mean and median minutes, from one count per distinct duration."""
-    counts = counted(positive(trips), [], "duration_us")
-    median = wide_quantiles(counts, [], "duration_us", {"median": 0.5})
-    total = exact_sum(F.col("duration_us"), F.col("n"))
-    return counts.agg(
-        F.round(ratio(total, F.sum("n"), MICROS_PER_MINUTE), 1).alias("avg_min")
-    ).select(
+    """Mean and median minutes."""
+    rows = positive(trips)
+    median = wide_quantiles(rows, [], "duration_us", {"median": 0.5})
+    mean = ratio(exact_sum(F.col("total_us")), F.sum("n"), MICROS_PER_MINUTE)
+    return rows.agg(F.round(mean, 1).alias("avg_min")).select(
         "avg_min",
         F.round(median.select("median").scalar() / MICROS_PER_MINUTE, 1).alias("median_min"),
     )
@@ -52,3 +74,19 @@ def load_profile(trips: DataFrame) -> DataFrame:
         count_where(F.col("start_station_name").isNull(), "no_start_station"),
         count_where(F.col("end_station_name").isNull(), "no_end_station"),
     )
+
+
+def file_selection(trips: DataFrame) -> DataFrame:
+    """Every file that rows came in: part of the data set or not, its period, its rows."""
+    counts = trips.groupBy("file_name").agg(rides())
+    name = F.col("file_name")
+    return counts.select(name, wanted_name(name).alias("wanted"), period_of(name).alias("period"), "rides")
+
+
+def file_load_plan(trips: DataFrame, known: Sequence[str] = ()) -> DataFrame:
+    """What a load would do with the wanted files of the rows, a folder per bike type, if the files
+    in ``known`` were loaded before."""
+    name = F.col("file_name")
+    path = F.concat_ws("/", "rideable_type", "file_name").alias("path")
+    listed = trips.filter(wanted_name(name)).groupBy("file_name", path).agg(rides())
+    return with_status(listed, name.isin(*known))

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from dockflow.functions.clock import month_label
 from dockflow.functions.trip import bounded, count_where, positive, rides
 from dockflow.operators.flows import station_flows
-from dockflow.operators.ranking import by_name, top, top_per_group
+from dockflow.operators.ranking import by_name, few, top, top_per_group
 from dockflow.operators.shares import scaled
 
 
@@ -89,29 +89,37 @@ def station_map_points(trips: DataFrame, k: int = 40) -> DataFrame:
 
     The position is that of the earliest ride that has one; of several at that moment, the
     southernmost. It is looked up among the rides of the k stations at that moment, so that
-    the counts are kept in fixed-width numbers and need no sorting of the trips.
+    the counts are kept in fixed-width numbers and need no sorting of the trips. The lookup names
+    the months, so that on the stored table it reads the partitions of those moments alone.
     """
     named = positive(trips).filter(F.col("start_station_name").isNotNull())
     located = F.col("start_lat").isNotNull() & F.col("start_lng").isNotNull()
     counts = named.groupBy(F.col("start_station_name").alias("station")).agg(
-        count_where(F.col("ride_id").isNotNull(), "rides"),
+        count_where(F.col("has_ride_id"), "rides"),
         F.min(F.when(located, F.col("started_at"))).alias("first_at"),
     )
     busiest = top(counts, k, F.desc("rides"), *by_name("station"))
-    # k rows at most.
-    moments = busiest.select(F.col("station").alias("place"), F.col("first_at").alias("moment"))
-    at_first = (F.col("start_station_name") == F.col("place")) & (
-        F.col("started_at") == F.col("moment")
+    moments = busiest.select(
+        F.col("station").alias("place"),
+        F.col("first_at").alias("moment"),
+        F.year("first_at").alias("in_year"),
+        F.month("first_at").alias("in_month"),
+    )
+    at_first = (
+        (F.col("start_station_name") == F.col("place"))
+        & (F.col("started_at") == F.col("moment"))
+        & (F.col("year") == F.col("in_year"))
+        & (F.col("month") == F.col("in_month"))
     )
     places = (
         named.filter(located)
-        .join(F.broadcast(moments), at_first)
+        .join(few(moments, k), at_first)
         .groupBy("place", "moment")
         .agg(F.min(F.struct("start_lat", "start_lng")).alias("at"))
     )
     # Joining on the moment as well keeps both uses of the counts alike, so they share one.
     found = (F.col("station") == F.col("place")) & (F.col("first_at") == F.col("moment"))
-    return busiest.join(F.broadcast(places), found, "left").select(
+    return busiest.join(few(places, k), found, "left").select(
         "station",
         "rides",
         F.col("at.start_lat").alias("lat"),

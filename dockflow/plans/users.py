@@ -22,9 +22,14 @@ def _mean() -> Column:
     return mean_minutes(F.sum("total_secs"), F.sum("n")).alias("avg_duration_min")
 
 
-def _both_users() -> list[Column]:
+def _by_user() -> list[Column]:
     user = F.col("member_casual")
-    return [count_where(user == MEMBER, "member"), count_where(user == CASUAL, "casual")]
+    other = user.isNull() | ~user.isin(MEMBER, CASUAL)
+    return [
+        count_where(user == MEMBER, "member"),
+        count_where(user == CASUAL, "casual"),
+        count_where(other, "other"),
+    ]
 
 
 def user_hourly(trips: DataFrame) -> DataFrame:
@@ -54,15 +59,15 @@ def user_overall(trips: DataFrame) -> DataFrame:
 
 
 def user_day_pivot(trips: DataFrame) -> DataFrame:
-    counts = valid(trips).groupBy(F.col("dow").cast("bigint").alias("dow")).agg(*_both_users())
+    counts = valid(trips).groupBy(F.col("dow").cast("bigint").alias("dow")).agg(*_by_user())
     week = on_axis(counts, "dow", 1, 7)
     short = F.substring(day_name(F.col("dow")), 1, 3)
-    return week.select("dow", short.alias("day"), "member", "casual")
+    return week.select("dow", short.alias("day"), "member", "casual", "other")
 
 
 def user_hour_pivot(trips: DataFrame) -> DataFrame:
     hour = F.col("hour").cast("bigint").alias("hour")
-    return positive(trips).groupBy(hour).agg(*_both_users())
+    return positive(trips).groupBy(hour).agg(*_by_user())
 
 
 def user_avg_duration(trips: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from dockflow.sources.schema import TRIP_FILE
@@ -23,16 +23,34 @@ READ_OPTIONS = {
 }
 
 
+def wanted_name(name: Column) -> Column:
+    """Whether a file of this name is part of the data set."""
+    hidden = name.startswith(".") | name.startswith("_")
+    return name.endswith(WANTED.removeprefix("*")) & ~name.startswith(OTHER_SYSTEM) & ~hidden
+
+
+def period_of(name: Column) -> Column:
+    """The period (YYYYMM) a file's name begins with; NULL without one."""
+    return F.nullif(F.regexp_extract(name, r"^(\d{6})", 1), F.lit(""))
+
+
 def wanted_file() -> Column:
     """Whether the row's file is part of the data set; decided before the file is opened."""
     return ~F.col("_metadata.file_name").startswith(OTHER_SYSTEM)
 
 
 def file_columns() -> list[Column]:
-    """The file a row came in, and the period (YYYYMM) in the file's name."""
+    """The file a row came in, and the period in the file's name."""
     name = F.col("_metadata.file_name")
-    period = F.nullif(F.regexp_extract(name, r"^(\d{6})", 1), F.lit(""))
-    return [name.alias("file_name"), period.alias("file_period")]
+    return [name.alias("file_name"), period_of(name).alias("file_period")]
+
+
+def with_status(listed: DataFrame, known: Column) -> DataFrame:
+    """Files (file_name, path, …) with their ``status`` in a load: ``skipped`` if the name is known
+    already, ``new``, or ``repeated`` if another new file of the name has an earlier path."""
+    first = F.min("path").over(Window.partitionBy("file_name"))
+    new = F.when(F.col("path") == first, "new").otherwise("repeated")
+    return listed.withColumn("status", F.when(known, "skipped").otherwise(new))
 
 
 def scan_trip_files(

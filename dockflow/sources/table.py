@@ -1,7 +1,7 @@
-"""The trip table: typed trips as Parquet, partitioned by load and the month of the start.
+"""The trip table: typed trips as Parquet, partitioned by load, file period and month of the start.
 
 Parsed once, read many times: a query reads the two or three columns it needs, and one that
-asks for certain months or years reads only their partitions. Weekday and hours are stored as
+asks for certain months, years or file periods reads only their partitions. Weekday and hours are stored as
 numbers, a few bits a row; a query by month, weekday or hour touches no timestamp. Rows without a readable start
 are kept, in a partition of their own, since some counts are of all rows of a file.
 
@@ -16,14 +16,19 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from dockflow.functions.trip import typed, with_calendar, with_numbers
 from dockflow.sources.schema import TRIP_FILE
 
-PARTITION = ("year", "month")
+PARTITION = ("file_period", "year", "month")
 MANIFEST = "file_name string, length long, rows long, load long"
 
 
+def partition_of(rows: DataFrame) -> list[str]:
+    return [name for name in PARTITION if name in rows.columns]
+
+
 def table_rows(raw: DataFrame) -> DataFrame:
     return with_numbers(typed(raw))
 
@@ -62,9 +67,9 @@ def write_load(
     spark = rows.sparkSession
     if fresh:
         numbered = rows.withColumn("load", F.lit(load))
-        numbered.write.mode("overwrite").partitionBy("load", *PARTITION).parquet(path)
+        numbered.write.mode("overwrite").partitionBy("load", *partition_of(rows)).parquet(path)
     else:
-        rows.write.mode("overwrite").partitionBy(*PARTITION).parquet(f"{path}/load={load}")
+        rows.write.mode("overwrite").partitionBy(*partition_of(rows)).parquet(f"{path}/load={load}")
     stored = _stored(spark, path, load)
     named = F.col("file_name") if "file_name" in rows.columns else F.lit(None).cast("string")
     empty = spark.createDataFrame([], "file_name string, rows long")
@@ -87,7 +92,7 @@ def write_trips(raw: DataFrame, path: str, gather: bool = True, mode: str = "ove
         raise ValueError(mode)
     rows = table_rows(raw)
     if gather:
-        rows = rows.hint("rebalance", *PARTITION)
+        rows = rows.hint("rebalance", *partition_of(rows))
     fresh = mode == "overwrite"
     write_load(rows, path, 1 if fresh else next_load(raw.sparkSession, path), fresh=fresh)
 
@@ -97,5 +102,8 @@ def read_trips(spark: SparkSession, path: str) -> DataFrame:
     if not loads:
         names = "file_name string, file_period string"
         return with_calendar(table_rows(spark.createDataFrame([], TRIP_FILE.simpleString()[7:-1].replace(":", " ") + ", " + names)))
-    rows = spark.read.option("basePath", path).parquet(*(f"{path}/load={n}" for n in loads))
-    return with_calendar(rows.drop("load"))
+    folders = [f"{path}/load={n}" for n in loads]
+    schema = spark.read.option("basePath", path).parquet(*folders).schema
+    # A period is text; from the folder names it would be read as a number.
+    text = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "file_period" else f for f in schema])
+    return with_calendar(spark.read.schema(text).option("basePath", path).parquet(*folders).drop("load"))

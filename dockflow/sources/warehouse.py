@@ -32,7 +32,7 @@ def _every(n: int) -> Column:
 
 
 def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
-    """Raw trips: the columns of a trip file plus ``file_period``."""
+    """Raw trips: the columns of a trip file, ``file_name`` and ``file_period``."""
     lineitem = spark.read.parquet(f"{folder}/lineitem.parquet")
     orders = spark.read.parquet(f"{folder}/orders.parquet")
     supplier = spark.read.parquet(f"{folder}/supplier.parquet")
@@ -65,6 +65,16 @@ def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
     def text(seconds: Column) -> Column:
         return (midnight + second * seconds).cast("string")
 
+    period = F.date_format("o_orderdate", "yyyyMM")
+    part = F.col("l_linenumber") % 7
+    file_name = (
+        F.when(part == 0, F.concat(F.lit("JC-"), period, F.lit("-trips.csv")))
+        .when(part == 1, F.concat(period, F.lit("-trips.txt")))
+        .when(part == 2, F.lit("trips.csv"))
+        .when(part == 3, F.concat(period, F.lit("-trips_2.csv")))
+        .otherwise(F.concat(period, F.lit("-trips.csv")))
+    )
+
     return timed.select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).cast("string").alias("ride_id"),
         F.when(F.col("l_linestatus") == "O", "electric_bike")
@@ -81,5 +91,6 @@ def raw_trips(spark: SparkSession, folder: str) -> DataFrame:
         F.expr("CAST(40.0 + end_station_id * 0.01 AS DOUBLE)").alias("end_lat"),
         F.expr("CAST(-74.0 + end_station_id * 0.01 AS DOUBLE)").alias("end_lng"),
         F.when(F.col("l_returnflag") == "R", "casual").otherwise("member").alias("member_casual"),
-        F.date_format("o_orderdate", "yyyyMM").alias("file_period"),
+        file_name.alias("file_name"),
+        period.alias("file_period"),
     )

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.sources.files import list_trip_files, scan_trip_files
+from dockflow.sources.files import list_trip_files, scan_trip_files, with_status
 from dockflow.sources.table import manifest, next_load, table_rows, write_load
 
 
@@ -20,11 +20,9 @@ def load_plan(spark: SparkSession, files: str, table: str) -> DataFrame:
     """Every wanted file as ``new``, ``skipped`` (its name is in the table) or ``repeated`` (another
     new file of the listing has its name), before a load."""
     listed = list_trip_files(spark, files)
-    first = listed.groupBy("file_name").agg(F.min("path").alias("first"))
     known = manifest(spark, table).select("file_name").distinct().withColumn("known", F.lit(True))
-    joined = listed.join(first, "file_name").join(known, "file_name", "left")
-    status = F.when(F.col("known"), "skipped").when(F.col("path") == F.col("first"), "new").otherwise("repeated")
-    return joined.select("file_name", "length", status.alias("status"), "path")
+    joined = listed.join(known, "file_name", "left")
+    return with_status(joined, F.col("known")).select("file_name", "length", "status", "path")
 
 
 def load_new_files(spark: SparkSession, files: str, table: str, files_per_load: int = 1000) -> None:

@@ -84,9 +84,9 @@ def range_bins(source: str, value: str, bins: int, unit: int) -> str:
     span AS (SELECT min(x) AS lo, max(x) AS hi FROM v),
     binned AS (SELECT CAST(least((x - lo) * {bins} // (hi - lo), {bins - 1}) + 1 AS BIGINT) AS bin, lo, hi
       FROM v, span)
-    SELECT bin, (lo * {bins} + (bin - 1) * (hi - lo))::DOUBLE / {bins * unit} AS low,
-      (lo * {bins} + bin * (hi - lo))::DOUBLE / {bins * unit} AS high, {N} AS rides
-    FROM binned GROUP BY bin, lo, hi"""
+    SELECT CAST(b AS BIGINT) AS bin, (s.lo * {bins} + (b - 1) * (s.hi - s.lo))::DOUBLE / {bins * unit} AS low,
+      (s.lo * {bins} + b * (s.hi - s.lo))::DOUBLE / {bins * unit} AS high, CAST(count(binned.bin) AS BIGINT) AS rides
+    FROM span s, generate_series(1, {bins}) AS axis(b) LEFT JOIN binned ON binned.bin = b GROUP BY b, s.lo, s.hi"""
 
 
 def profile(keys: str, quantile: str, source: str = "valid", label: str | None = None) -> str:
@@ -96,6 +96,15 @@ def profile(keys: str, quantile: str, source: str = "valid", label: str | None =
       {as_min(f"{quantile}(secs::DOUBLE, 0.95)")} AS p95_min FROM {source} {group}"""
 
 
+def sketched(keys: str, quantiles: dict[str, float]) -> str:
+    """The exact values, and that every sketched value is within its rank error."""
+    return " UNION ALL ".join(
+        f"""SELECT {keys}, {N} AS rides, '{name}' AS quantile,
+      {as_min(f"quantile_disc(secs::DOUBLE, {p})")} AS exact_min, true AS within FROM valid GROUP BY {keys}"""
+        for name, p in quantiles.items()
+    )
+
+
 def scale(low: int, high: int, by: str = "") -> str:
     over = f"OVER ({by})"
     return (
@@ -125,10 +134,13 @@ BODIES = {
     "station_top_starts_named": f"""SELECT start_station_name AS station, {N} AS rides FROM positive
       WHERE start_station_name IS NOT NULL GROUP BY start_station_name
       ORDER BY rides DESC, station LIMIT 15""",
-    "station_map_points": f"""points AS (SELECT start_station_name AS station, {N} AS rides,
-        min(start_lat) AS lat, min(start_lng) AS lng
-      FROM positive WHERE start_station_name IS NOT NULL GROUP BY start_station_name
-      ORDER BY rides DESC, station LIMIT 40)
+    "station_map_points": f"""placed AS (SELECT start_station_name AS station, ride_id, start_lat AS y, start_lng AS x,
+        row_number() OVER (PARTITION BY start_station_name
+          ORDER BY start_lat IS NULL OR start_lng IS NULL, started_at, start_lat, start_lng) AS rn
+      FROM positive WHERE start_station_name IS NOT NULL),
+      points AS (SELECT station, CAST(count(ride_id) AS BIGINT) AS rides,
+        max(CASE WHEN rn = 1 AND x IS NOT NULL THEN y END) AS lat, max(CASE WHEN rn = 1 AND y IS NOT NULL THEN x END) AS lng
+      FROM placed GROUP BY station ORDER BY rides DESC, station LIMIT 40)
       SELECT station, rides, lat, lng, {scale(5, 30)} AS radius FROM points""",
     # Bike types
     "bike_type_monthly": f"""SELECT ym, rideable_type, member_casual, {N} AS rides FROM started
@@ -159,10 +171,13 @@ BODIES = {
         {as_min("quantile_cont(secs::DOUBLE, 0.5)")} AS median_duration_min
       FROM valid GROUP BY member_casual""",
     "user_day_pivot": f"""SELECT CAST(d AS BIGINT) AS dow, left(({DAYS})[d], 3) AS day,
-        {where("member_casual = 'member'")} AS member, {where("member_casual = 'casual'")} AS casual
+        {where("member_casual = 'member'")} AS member, {where("member_casual = 'casual'")} AS casual,
+        {where("valid.dow IS NOT NULL AND member_casual IS DISTINCT FROM 'member' AND member_casual IS DISTINCT FROM 'casual'")} AS other
       FROM generate_series(1, 7) AS axis(d) LEFT JOIN valid ON valid.dow = d GROUP BY d""",
     "user_hour_pivot": f"""SELECT hour, {where("member_casual = 'member'")} AS member,
-        {where("member_casual = 'casual'")} AS casual FROM positive GROUP BY hour""",
+        {where("member_casual = 'casual'")} AS casual,
+        {where("member_casual IS DISTINCT FROM 'member' AND member_casual IS DISTINCT FROM 'casual'")} AS other
+      FROM positive GROUP BY hour""",
     "user_avg_duration": """SELECT member_casual,
         sum(us)::DOUBLE / (count(*) * 60000000) AS avg_duration_min
       FROM positive GROUP BY member_casual""",
@@ -211,9 +226,10 @@ BODIES = {
       FROM c""",
     "yoy_same_month": f"""g AS (
         SELECT 'total' AS category, file_period FROM trips
-        UNION ALL SELECT member_casual, file_period FROM trips),
-      c AS (SELECT category, {where("file_period = '199906'")} AS rides_base,
-        {where("file_period = '200006'")} AS rides_cmp FROM g GROUP BY category)
+        UNION ALL SELECT CASE WHEN member_casual IN ('member', 'casual') THEN member_casual ELSE 'other' END, file_period FROM trips),
+      c AS (SELECT k.category, {where("file_period = '199906'")} AS rides_base,
+        {where("file_period = '200006'")} AS rides_cmp
+        FROM (VALUES ('total'), ('member'), ('casual'), ('other')) AS k(category) LEFT JOIN g ON g.category = k.category GROUP BY k.category)
       SELECT category, rides_base, rides_cmp, CASE WHEN rides_base > 0 AND category = 'total'
         THEN {signed_pct("(rides_cmp - rides_base)", "rides_base")} END AS growth_pct FROM c""",
     "monthly_volume_by_file": f"""m AS (SELECT CAST(substr(file_period, 5, 2) AS BIGINT) AS month
@@ -228,6 +244,10 @@ BODIES = {
         for p in (10, 25, 50, 75, 90, 95, 99)
     )
     + " FROM valid",
+    "duration_sketch_by_bike": sketched("rideable_type", {"median": 0.5, "p95": 0.95}),
+    "duration_sketch_by_bike_user": sketched(
+        "rideable_type, member_casual", {f"p{p}": p / 100 for p in (10, 25, 50, 75, 90, 95, 99)}
+    ),
     "duration_by_bike_exact": profile("rideable_type", "quantile_cont"),
     "duration_describe": describe("positive", 60000000),
     "duration_histogram": range_bins("positive", "least(us, 7200000000)", 80, 60000000),
@@ -244,8 +264,8 @@ BODIES = {
       UNION ALL SELECT 'bike', rideable_type, {N} FROM long_rides GROUP BY rideable_type
       UNION ALL SELECT 'day', ({DAYS})[dow], {N} FROM long_rides GROUP BY dow
       UNION ALL SELECT 'hour', CAST(hour AS VARCHAR), {N} FROM long_rides GROUP BY hour""",
-    "user_share": f"""c AS (SELECT member_casual, {N} AS rides FROM positive GROUP BY member_casual)
-      SELECT member_casual, rides, {pct("rides", "(SELECT count(*) FROM positive)")} AS pct FROM c""",
+    "user_share": f"""c AS (SELECT member_casual, {N} AS rides FROM positive WHERE member_casual IS NOT NULL GROUP BY member_casual)
+      SELECT member_casual, rides, {pct("rides", "(SELECT count(member_casual) FROM positive)")} AS pct FROM c""",
     "long_ride_histogram": f"{LONG}, {range_bins('long_rides', 'us', 40, 3600000000)}",
     "long_ride_rate_by_user": f"""c AS (SELECT member_casual, {where("us > 2700000000")} AS long_rides,
         {N} AS all_rides FROM positive GROUP BY member_casual)
@@ -334,14 +354,16 @@ BODIES = {
     "circular_split": f"""c AS (SELECT label, {N} AS rides FROM positive GROUP BY label)
       SELECT *, {pct("rides", "(SELECT count(*) FROM positive)")} AS pct FROM c""",
     "circular_user_share": f"""c AS (SELECT member_casual, {where("is_circular")} AS circular, {N} AS rides
-        FROM positive GROUP BY member_casual),
+        FROM positive WHERE member_casual IS NOT NULL GROUP BY member_casual),
       a AS (SELECT {total("circular")} AS all_circular, {total("rides")} AS all_rides FROM c)
       SELECT member_casual, {pct("circular", "all_circular")} AS circular_pct,
         {pct("rides", "all_rides")} AS overall_pct FROM c, a""",
     "circular_histogram": f"""b AS (SELECT label, CAST(least(us * 59 // 5400000000, 58) + 1 AS BIGINT) AS bin
       FROM positive WHERE label <> 'unknown' AND us BETWEEN 0 AND 5400000000)
-      SELECT label, bin, ((bin - 1) * 5400000000)::DOUBLE / 3540000000 AS low,
-        (bin * 5400000000)::DOUBLE / 3540000000 AS high, {N} AS rides FROM b GROUP BY label, bin""",
+      SELECT l.label, CAST(x AS BIGINT) AS bin, ((x - 1) * 5400000000)::DOUBLE / 3540000000 AS low,
+        (x * 5400000000)::DOUBLE / 3540000000 AS high, CAST(count(b.bin) AS BIGINT) AS rides
+      FROM (SELECT DISTINCT label FROM positive WHERE label <> 'unknown') l, generate_series(1, 59) AS axis(x)
+      LEFT JOIN b ON b.label = l.label AND b.bin = x GROUP BY l.label, x""",
     "circular_box": box("label", 90, "label <> 'unknown'"),
     # Recommendation
     "station_hour_starts": f"""SELECT hour, start_station_name AS station, {N} AS starts FROM bounded_named
@@ -379,6 +401,15 @@ BODIES = {
         {where("ended_at IS NULL")} AS bad_end, {where("secs <= 0 OR secs >= 86400")} AS bad_duration,
         {where("start_station_name IS NULL")} AS no_start_station,
         {where("end_station_name IS NULL")} AS no_end_station FROM trips""",
+    "file_selection": f"""SELECT file_name, file_name LIKE '%.csv' AND file_name NOT LIKE 'JC-%' AS wanted,
+        nullif(regexp_extract(file_name, '^[0-9]{{6}}'), '') AS period, {N} AS rides
+      FROM trips GROUP BY file_name""",
+    "file_load_plan": f"""l AS (SELECT file_name, rideable_type || '/' || file_name AS path, {N} AS rides
+        FROM trips WHERE file_name LIKE '%.csv' AND file_name NOT LIKE 'JC-%' GROUP BY file_name, rideable_type)
+      SELECT file_name, path, rides,
+        CASE WHEN file_name IN ('199901-trips.csv', '200006-trips_2.csv', 'trips.csv') THEN 'skipped'
+          WHEN path = (SELECT min(path) FROM l m WHERE m.file_name = l.file_name) THEN 'new' ELSE 'repeated' END AS status
+      FROM l""",
 }
 
 

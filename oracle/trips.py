@@ -34,6 +34,10 @@ WITH line AS (
     CAST(40.0 + s_id * 0.01 AS DOUBLE) AS start_lat, CAST(-74.0 + s_id * 0.01 AS DOUBLE) AS start_lng,
     CAST(40.0 + e_id * 0.01 AS DOUBLE) AS end_lat, CAST(-74.0 + e_id * 0.01 AS DOUBLE) AS end_lng,
     CASE WHEN l_returnflag = 'R' THEN 'casual' ELSE 'member' END AS member_casual,
+    CASE l_linenumber % 7 WHEN 0 THEN 'JC-' || strftime(o_orderdate, '%Y%m') || '-trips.csv'
+      WHEN 1 THEN strftime(o_orderdate, '%Y%m') || '-trips.txt' WHEN 2 THEN 'trips.csv'
+      WHEN 3 THEN strftime(o_orderdate, '%Y%m') || '-trips_2.csv'
+      ELSE strftime(o_orderdate, '%Y%m') || '-trips.csv' END AS file_name,
     strftime(o_orderdate, '%Y%m') AS file_period
   FROM timed
 )"""

@@ -8,6 +8,7 @@ from dockflow.plans import (
     circular,
     durations,
     growth,
+    long_rides,
     overview,
     peaks,
     recommend,
@@ -222,4 +223,24 @@ def test_histogram_edges(spark):
     assert [(b.bin, b.rides) for b in fixed] == [(1, 2), (2, 2), (3, 1)]
     # A single value lies in the middle of a range of one unit.
     alone = durations.duration_histogram(frame.filter("ride_id = '0'"), bins=4).collect()
-    assert [tuple(b) for b in alone] == [(3, 10.0, 10.25, 1)]
+    assert [(b.bin, b.low, b.rides) for b in sorted(alone)] == [(1, 9.5, 0), (2, 9.75, 0), (3, 10.0, 1), (4, 10.25, 0)]
+    # Every bin of every label that occurs, also of one whose rides all lie outside.
+    far = circular.circular_histogram(trips(spark, [ride(1, 200)]), bins=3, upto=90).collect()
+    assert sorted((b.label, b.bin, b.rides) for b in far) == [("circular", b, 0) for b in (1, 2, 3)]
+
+
+def test_other_user_types_are_not_lost(spark):
+    rows = [*ROWS, *((f"x{i}", C, "2023-01-02 08:00:00", "2023-01-02 08:10:00", "A", "B", u) for i, u in enumerate(("guest", None)))]
+    frame = trips(spark, rows).withColumn("file_period", F.lit("202301"))
+    assert sum(r.other for r in users.user_day_pivot(frame).collect()) == 2
+    assert sum(r.other for r in users.user_hour_pivot(frame).collect()) == 2
+    same = {r.category: r.rides_base for r in growth.yoy_same_month(frame, "202301", "202401").collect()}
+    assert same == {"total": 12, "member": 7, "casual": 3, "other": 2}
+
+
+def test_no_user_type_is_in_no_share(spark):
+    rows = [(f"x{i}", C, "2023-01-02 08:00:00", "2023-01-02 08:10:00", "A", "A", u) for i, u in enumerate((M, M, K, None))]
+    frame = trips(spark, rows)
+    for query, name in ((long_rides.user_share, "pct"), (circular.circular_user_share, "circular_pct"), (circular.circular_user_share, "overall_pct")):
+        assert {r.member_casual: r[name] for r in query(frame).collect()} == {M: 66.7, K: 33.3}
+    assert {r.value: r.pct for r in overview.overview_mix(frame).collect() if r.dimension == "user"} == {M: 66.7, K: 33.3}

@@ -34,12 +34,14 @@ TWO_READS = {
 # exchange below the counts is reused while running.
 SHARED_COUNTS = {
     "hourly_rides_per_day": 1,
-    "duration_describe": 1,
-    "long_ride_describe": 1,
-    "duration_box_by_bike": 1,
-    "circular_box": 1,
-    "overview_duration": 1,
+    "duration_describe": 4,
+    "long_ride_describe": 4,
+    "duration_box_by_bike": 3,
+    "circular_box": 3,
+    "overview_duration": 3,
     "station_map_points": 2,
+    "duration_sketch_by_bike": 2,
+    "duration_sketch_by_bike_user": 2,
 }
 
 
@@ -73,6 +75,48 @@ def test_latest_month_reads_one_partition(spark, stored):
     assert "ReadSchema: struct<>" in names_only
 
 
+def shown(spark, frame):
+    before = spark.conf.get("spark.sql.maxMetadataStringLength")
+    spark.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        return plan(frame)
+    finally:
+        spark.conf.set("spark.sql.maxMetadataStringLength", before)
+
+
+@pytest.mark.parametrize("name", ["bike_type_at_periods", "yoy_same_month", "monthly_volume_by_file"])
+def test_period_prunes_partitions(spark, stored, name):
+    text = shown(spark, QUERIES[name](stored, **PARAMETERS.get(name, {})))
+    assert "file_period#" in text.split("PartitionFilters: [")[1].split("], PushedFilters")[0]
+
+
+def test_map_points_read_no_ids_and_few_partitions(spark, stored):
+    text = shown(spark, stations.station_map_points(stored))
+    assert ":ride_id" not in text and "ride_id:" not in text.replace("has_ride_id:", "")
+    assert "dynamicpruning" in text
+
+
+def test_no_row_is_multiplied_for_distinct_counts(stored):
+    assert "Expand" not in plan(QUERIES["overview_counts"](stored))
+
+
+@pytest.mark.parametrize("name", ["duration_describe", "long_ride_describe", "overview_duration", "duration_box_by_bike", "circular_box"])
+def test_values_are_shuffled_for_wanted_seconds_only(stored, name):
+    """What is exchanged by value has been joined with the wanted seconds before."""
+    text = plan(QUERIES[name](stored, **PARAMETERS.get(name, {})))
+    for part in text.split("Exchange hashpartitioning(")[1:]:
+        keys = part.split(", 8)")[0]
+        assert "_value#" not in keys or "_second#" in keys
+        assert "duration_us#" not in keys
+    if name in ("duration_box_by_bike", "circular_box"):
+        assert "SinglePartition" not in text
+
+
+def test_stored_durations_are_pushed_down(spark, stored):
+    text = shown(spark, QUERIES["season_volume"](stored))
+    assert "GreaterThanOrEqual(duration_secs,1)" in text
+
+
 def test_view_shuffles_the_large_table_on_its_order_key(spark, small):
     text = plan(QUERIES["monthly_rides"](trips(spark, small)))
     assert text.count("Exchange hashpartitioning(l_orderkey") <= 1

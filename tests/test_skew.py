@@ -25,8 +25,15 @@ def skewed(spark, small, tmp_path_factory):
     spread = view.withColumn(
         "ended_at", F.when(readable, F.concat("ended_at", fraction)).otherwise(F.col("ended_at"))
     )
+    moved = (F.pmod(F.hash("ride_id"), F.lit(7)) - 3) * F.lit(0.001)
+    spread = spread.withColumns(
+        {
+            "start_lat": F.when(F.pmod(F.hash("ride_id"), F.lit(11)) > 0, F.col("start_lat") + moved),
+            "ride_id": F.when(F.pmod(F.hash("ride_id"), F.lit(13)) > 0, F.col("ride_id")),
+        }
+    )
     hot = spread.filter("start_station_name = end_station_name and ended_at != 'n/a'")
-    copies = hot.orderBy("ride_id", "started_at").limit(1).withColumn(
+    copies = hot.orderBy("ride_id", "started_at", "start_lat").limit(1).withColumn(
         "copy", F.explode(F.sequence(F.lit(1), F.lit(30000)))
     )
     spread.unionByName(copies.drop("copy")).repartition(5).write.mode("overwrite").parquet(path)
@@ -47,6 +54,8 @@ NAMES = [
     "hourly_rides_per_day",
     "duration_by_bike",
     "duration_by_bike_exact",
+    "duration_sketch_by_bike",
+    "duration_sketch_by_bike_user",
     "duration_describe",
     "duration_histogram",
     "duration_box_by_bike",
@@ -61,7 +70,9 @@ NAMES = [
     "circular_box",
     "recommend_top5",
     "overview_duration",
+    "overview_counts",
     "load_profile",
+    "file_load_plan",
 ]
 
 
