@@ -91,6 +91,7 @@ def with_calendar(trips: DataFrame) -> DataFrame:
             "is_circular": F.col("start_station_name") == F.col("end_station_name"),
             "is_started": has_start,
             "is_bounded": has_start & has_end,
+            "is_named": F.col("start_station_name").isNotNull() & F.col("end_station_name").isNotNull(),
             "is_valid": in_a_day,
             "is_positive": F.col("duration_us") > 0,
             "n": F.lit(1).cast("bigint"),
@@ -118,9 +119,7 @@ def bounded(trips: DataFrame) -> DataFrame:
 
 
 def bounded_named(trips: DataFrame) -> DataFrame:
-    return bounded(trips).filter(
-        F.col("start_station_name").isNotNull() & F.col("end_station_name").isNotNull()
-    )
+    return bounded(trips).filter("is_named")
 
 
 def valid(trips: DataFrame) -> DataFrame:

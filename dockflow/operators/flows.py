@@ -19,10 +19,19 @@ def station_flows(
     station it reaches, under ``end_keys``. Both counts come out of one scan and one shuffle
     of map-side combined rows; a full outer join of two counts would take two scans and three
     shuffles. Grouping is null-safe, so unnamed stations meet in one row.
+
+    Flow cells, which are halves of trips already, take the keys of their side.
     """
     start_keys = dict(start_keys or {})
     end_keys = dict(end_keys or start_keys)
-    one, none = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+    n, none = F.col("n"), F.lit(0).cast("bigint")
+    if "is_start" in trips.columns:
+        leaves = F.col("is_start")
+        keys = [F.when(leaves, key).otherwise(end_keys[name]).alias(name) for name, key in start_keys.items()]
+        return trips.groupBy(*keys, "station").agg(
+            F.sum(F.when(leaves, n).otherwise(none)).alias("starts"),
+            F.sum(F.when(leaves, none).otherwise(n)).alias("ends"),
+        )
 
     def event(keys: Mapping[str, Column], station: str, starts: Column, ends: Column) -> Column:
         return F.struct(
@@ -35,8 +44,8 @@ def station_flows(
     events = trips.select(
         F.inline(
             F.array(
-                event(start_keys, "start_station_name", one, none),
-                event(end_keys, "end_station_name", none, one),
+                event(start_keys, "start_station_name", n, none),
+                event(end_keys, "end_station_name", none, n),
             )
         )
     )

@@ -16,7 +16,7 @@ from dockflow.operators.nested import (
     single,
 )
 from dockflow.plans.catalog import QUERIES
-from dockflow.plans.cells import FROM_CELLS, calendar_cells
+from dockflow.plans.cells import CELLS
 from dockflow.plans.peaks import season_hours
 from dockflow.sources.results import write_result
 
@@ -220,14 +220,15 @@ DOCUMENTS: dict[str, Callable[[Run], DataFrame]] = {
 
 def runner(
     trips: DataFrame,
-    cells: DataFrame | None = None,
+    cells: Mapping[str, DataFrame] | None = None,
     parameters: Mapping[str, Mapping] | None = None,
 ) -> Run:
-    """Runs a query by name, on the calendar cells where they suffice."""
+    """Runs a query by name, on the cells that suffice for it; a sketch needs the trips."""
 
     def run(name: str) -> DataFrame:
-        source = cells if cells is not None and name in FROM_CELLS else trips
-        return SECTIONS[name](source, **(parameters or {}).get(name, {}))
+        own = (parameters or {}).get(name, {})
+        fit = [kind for kind in cells or {} if name in CELLS[kind][1] and not own.get("sketch")]
+        return SECTIONS[name](cells[fit[0]] if fit else trips, **own)
 
     return run
 
@@ -240,11 +241,11 @@ def write_reports(
 ) -> None:
     """Write all documents below ``path``, replacing earlier ones.
 
-    The calendar cells are counted once and written there too; every section they can answer
-    is read from them instead of the trips.
+    Each kind of cells is counted in one read of the trips and written there too; all sections
+    are read from them.
     """
-    calendar_cells(trips).write.mode("overwrite").parquet(f"{path}/calendar_cells")
-    cells = spark.read.parquet(f"{path}/calendar_cells")
-    run = runner(trips, cells, parameters)
+    for kind, (count, _) in CELLS.items():
+        count(trips).write.mode("overwrite").parquet(f"{path}/{kind}")
+    run = runner(trips, {kind: spark.read.parquet(f"{path}/{kind}") for kind in CELLS}, parameters)
     for name, build in DOCUMENTS.items():
         write_result(build(run), f"{path}/{name}")

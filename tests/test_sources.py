@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from __spark_entry__ import PARAMETERS
 from dockflow.functions.trip import prepare
 from dockflow.plans.catalog import QUERIES
-from dockflow.plans.cells import FROM_CELLS, calendar_cells
-from dockflow.plans.reports import DOCUMENTS, SECTIONS, write_reports
+from dockflow.plans.cells import CELLS
+from dockflow.plans.reports import DOCUMENTS, SECTIONS, runner, write_reports
 from dockflow.sources.files import list_trip_files, scan_trip_files
 from dockflow.sources.results import read_result, write_result
 from dockflow.sources.schema import TRIP_FILE
@@ -148,18 +148,34 @@ def test_table_from_files(spark, files, run_dir):
 @pytest.fixture(scope="module")
 def cells(spark, table, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("cells"))
-    calendar_cells(read_trips(spark, table)).write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    for kind, (count, _) in CELLS.items():
+        count(read_trips(spark, table)).write.parquet(f"{path}/{kind}")
+    return {kind: spark.read.parquet(f"{path}/{kind}") for kind in CELLS}
 
 
-@pytest.mark.parametrize("name", sorted(FROM_CELLS))
-def test_cells_give_the_same_answers(spark, table, cells, name):
+@pytest.mark.parametrize(("kind", "name"), [(kind, name) for kind in CELLS for name in sorted(CELLS[kind][1])])
+def test_cells_give_the_same_answers(spark, table, cells, kind, name):
     parameters = PARAMETERS.get(name, {})
-    assert spark_rows(SECTIONS[name](cells, **parameters)) == spark_rows(
+    assert spark_rows(SECTIONS[name](cells[kind], **parameters)) == spark_rows(
         SECTIONS[name](read_trips(spark, table), **parameters)
     )
 
 
+def test_documents_read_the_trips_once_per_kind_of_cell(spark, table, cells):
+    run = runner(read_trips(spark, table), cells)
+    asked = []
+
+    def recorded(name):
+        frame = run(name)
+        asked.append((name, frame.inputFiles()))
+        return frame
+
+    for build in DOCUMENTS.values():
+        build(recorded)
+    assert len(asked) > 30
+    assert [name for name, used in asked if any("/cells" not in path for path in used)] == []
+
+
 def test_incremental_load(spark, files, run_dir):
     table = os.path.join(run_dir, "trips")
 
