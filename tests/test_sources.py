@@ -235,10 +235,10 @@ def test_no_overflow(spark):
     """Rows that stand for many rides, sums beyond BIGINT, and rides that end in 9999."""
     frame = prepare(raw(spark)).withColumns({"n": F.lit(10**12), "total_us": F.col("duration_us") * 10**8})
     frame = frame.union(frame)
-    for name in ("user_avg_duration", "overview_duration", "duration_describe", "long_ride_describe"):
+    for name in ("user_avg_duration", "overview_duration", "duration_describe", "long_ride_describe", "duration_box_by_bike", "circular_box"):
         QUERIES[name](frame).collect()
     last = raw(spark).withColumn("ended_at", F.lit("9999-12-31 00:00:00"))
-    for name in ("long_ride_histogram", "duration_histogram", "user_avg_duration", "overview_duration", "duration_describe"):
+    for name in ("long_ride_histogram", "duration_histogram", "user_avg_duration", "overview_duration", "duration_describe", "long_ride_describe", "duration_box_by_bike"):
         QUERIES[name](prepare(last)).collect()
 
 
