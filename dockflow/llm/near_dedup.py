@@ -4,9 +4,14 @@ Documents with the same words are one class, found by a shuffle of hashes. Class
 branched: a tree sends a document down from a node along `BRANCH` minwise tokens, chosen by the
 node, to the children named by these tokens, so that documents that share chosen paths meet.
 Nodes of at most `node_limit` documents are compared exhaustively (on signatures). In larger ones
-the documents that are like many of the node's `PIVOTS` pivots are settled by links to them, so
-that a group of copies doesn't multiply; the others branch again. Of two documents at the threshold a tree finds the link with a chance of 0.94
-at its first level and about 0.9 or more deeper down; `TREES` of them miss it with 1e-8 or less. What the comparison proposes joins documents to candidate groups, and every
+the documents are linked to those of the node's `PIVOTS` pivots that they are like. Each document
+has a label, the name of a document that links join it to. Where at most `node_limit` documents are
+outside the commonest label, these are compared with all of the node, which then is done;
+otherwise all documents branch again, and children whose documents have one label are dropped. So
+a group of copies doesn't multiply, and no two documents part that links don't join: a link is
+lost only where the signatures or all trees miss it. Of two documents at the threshold a tree finds the link with a chance of 0.94
+at its first level and, as q = 1 - (1 - 0.75 q)^2, 0.889 or more at any depth; `TREES` of them miss it with 2.3e-8 or
+less (coordinates taken as independent). What the comparison proposes joins documents to candidate groups, and every
 candidate group is decided on full shingle sets, which travel once.
 
 A large group is decided in blocks of bounded size: all blocks against one block, then what that
@@ -34,10 +39,10 @@ from dockflow.llm.textbytes import U, mix, shingle_hashes, text_of, word_hashes
 WORDS, PERCENT = 5, 75
 COORDS, TREES, BRANCH, DEPTH = 64, 8, 2, 12
 NODE_LIMIT = 1000
-PIVOTS, LIKE_PIVOTS = 48, 6
+PIVOTS = 48
 #: Signatures of documents at the threshold agree in fewer places with a chance of about 5e-06.
 AGREE = COORDS // 2
-#: For links to pivots: what is near to a settled document is still near to its pivots.
+#: For links to pivots: these only give labels, and candidate groups are decided on full sets.
 AGREE_PIVOT = COORDS * 2 // 5
 #: Documents that a task settles at once.
 SETTLED_ROWS = 20_000
@@ -114,9 +119,10 @@ def _branch(frame: DataFrame, root: bool) -> DataFrame:
             signature = np.frombuffer(b"".join(text_of(batch, "signature").to_pylist()), dtype=U).reshape(-1, COORDS)
             path = np.zeros(len(batch), U) if root else text_of(batch, "path").to_numpy().view(U)
             child, row = _children(path, signature, root)
-            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), text_of(batch, "rep").take(pa.array(row))], ["path", "rep"])
+            at = pa.array(row)
+            yield pa.RecordBatch.from_arrays([pa.array(child.view(np.int64)), *(text_of(batch, k).take(at) for k in ("rep", "label"))], ["path", "rep", "label"])
 
-    return frame.mapInArrow(down, "path long, rep long")
+    return frame.mapInArrow(down, "path long, rep long, label long")
 
 
 def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -126,44 +132,74 @@ def _few(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([text_of(batch, "rep"), pa.array([whole[i * COORDS : (i + 1) * COORDS] for i in range(len(batch))], pa.binary())], ["rep", "few"])
 
 
-def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _pivot_labels(marks: np.ndarray, labels: list[int], least: int) -> tuple[list[int], list[tuple[int, int]]]:
+    """A label for each pivot, equal for those that are alike or had equal labels, and the links of the former."""
+    out, links = list(labels), []
+    for i, j in np.argwhere(np.triu((marks[:, None] == marks).sum(axis=2) >= least, 1)).tolist():
+        links.append((i, j))
+        out = [out[i] if x == out[j] else x for x in out]
+    return out, links
+
+
+def _settle(least: int, label_pivots: bool):
     """Rows sorted by (path, part), a node's pivots before its documents. Gives links (pivot, rep)
-    and, with a null pivot, the documents that go on."""
-    node, pivots, marks = None, [], None
-    for batch in batches:
-        out: list[tuple] = []
-        joined: set[tuple[int, int]] = set()
-        for path, part, kind, rep, few in zip(*(text_of(batch, k).to_pylist() for k in ("path", "part", "kind", "rep", "few")), strict=True):
-            if node != (path, part):
-                node, pivots, marks = (path, part), [], None
-            if kind == 0:
-                pivots.append((rep, few))
-                continue
-            if marks is None:
-                marks = np.frombuffer(b"".join(x[1] for x in pivots), dtype=np.uint8).reshape(-1, COORDS)
-                names = [x[0] for x in pivots]
-            same = (marks == np.frombuffer(few, dtype=np.uint8)).sum(axis=1) if names else np.zeros(0, int)
-            like = np.flatnonzero(same >= AGREE_PIVOT)
-            if len(like):
-                first = names[like[0]]
-                joined |= {(first, names[i]) for i in like[1:]}
-                joined.add((first, rep))
-            if (same >= AGREE).sum() < max(1, len(names) * LIKE_PIVOTS // PIVOTS):
-                out.append((path, rep, None))
-        out += [(None, rep, pivot) for pivot, rep in joined if pivot != rep]
-        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], pa.int64()) for i in range(3)], ["path", "rep", "pivot"])
+    and, if asked, with a null pivot, each document with its new label."""
+
+    def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, pivots, marks = None, [], None
+        for batch in batches:
+            out: list[tuple] = []
+            joined: set[tuple[int, int]] = set()
+            for path, part, kind, rep, label, few in zip(*(text_of(batch, k).to_pylist() for k in ("path", "part", "kind", "rep", "label", "few")), strict=True):
+                if node != (path, part):
+                    node, pivots, marks = (path, part), [], None
+                if kind == 0:
+                    pivots.append((rep, label, few))
+                    continue
+                if marks is None:
+                    marks = np.frombuffer(b"".join(x[2] for x in pivots), dtype=np.uint8).reshape(-1, COORDS)
+                    names, old = [x[0] for x in pivots], [x[1] for x in pivots]
+                    if label_pivots:
+                        new, alike = _pivot_labels(marks, old, least)
+                        joined |= {(names[i], names[j]) for i, j in alike}
+                        relabel = dict(zip(old, new, strict=True))
+                same = (marks == np.frombuffer(few, dtype=np.uint8)).sum(axis=1) if names else np.zeros(0, int)
+                like = np.flatnonzero(same >= least)
+                if len(like):
+                    first = names[like[0]]
+                    joined |= {(first, names[i]) for i in like[1:]}
+                    joined.add((first, rep))
+                if label_pivots:
+                    out.append((path, rep, None, new[like[0]] if len(like) else relabel.get(label, label), few))
+            out += [(None, rep, pivot, None, None) for pivot, rep in joined if pivot != rep]
+            columns = [pa.array([x[i] for x in out], pa.int64()) for i in range(4)]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array([x[4] for x in out], pa.binary())], ["path", "rep", "pivot", "label", "few"])
+
+    return settle
+
+
+def _dealt(pivots: DataFrame, rows: DataFrame, least: int, label_pivots: bool) -> DataFrame:
+    """`_settle` of the rows (path, rep, label, few, n) against the pivots of their nodes; a large node is dealt out in parts."""
+    parts = F.ceil(F.col("n") / SETTLED_ROWS)
+    pivots = pivots.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).withColumn("kind", F.lit(0))
+    rows = rows.withColumn("part", F.pmod(F.xxhash64("rep"), parts)).withColumn("kind", F.lit(1))
+    names = ["path", "part", "kind", "rep", "label", "few"]
+    both = pivots.select(*names).unionByName(rows.select(*names)).repartition("path", "part").sortWithinPartitions("path", "part", "kind")
+    return both.mapInArrow(_settle(least, label_pivots), "path long, rep long, pivot long, label long, few binary")
 
 
 def _settled(large: DataFrame) -> DataFrame:
-    """From rows (path, rep, few, n) of large nodes: links (rep, pivot), and (path, rep) that go on.
-    Pivots are chosen by hash, some PIVOTS of a node; a large node is dealt out in parts."""
-    parts = F.ceil(F.col("n") / SETTLED_ROWS)
+    """From rows (path, rep, label, few, n) of large nodes: links (rep, pivot), and all rows with new
+    labels. Pivots are chosen by hash, some PIVOTS of a node."""
     chance = F.pmod(F.xxhash64("path", "rep"), F.lit(1 << 40)) / float(1 << 40)
-    pivots = large.where(chance < F.lit(PIVOTS) / F.col("n")).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).withColumn("kind", F.lit(0))
-    rows = large.withColumn("part", F.pmod(F.xxhash64("rep"), parts)).withColumn("kind", F.lit(1))
-    names = ["path", "part", "kind", "rep", "few"]
-    both = pivots.select(*names).unionByName(rows.select(*names)).repartition("path", "part").sortWithinPartitions("path", "part", "kind")
-    return both.mapInArrow(_settle, "path long, rep long, pivot long")
+    return _dealt(large.where(chance < F.lit(PIVOTS) / F.col("n")), large, AGREE_PIVOT, True)
+
+
+def _by_label(rows: DataFrame) -> DataFrame:
+    """(path, n, big, others): rows of each node, its commonest label, and the rows of other labels."""
+    sizes = rows.groupBy("path", "label").agg(F.count(F.lit(1)).alias("m"))
+    nodes = sizes.groupBy("path").agg(F.sum("m").alias("n"), F.max(F.struct("m", "label")).alias("x"))
+    return nodes.select("path", "n", F.col("x.label").alias("big"), (F.col("n") - F.col("x.m")).alias("others"))
 
 
 def _forest(few: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -224,10 +260,14 @@ def candidates(reps: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
     """Links (a, b) of rows of `reps` (rep, signature) whose signatures agree, enough to connect them."""
     few = written(reps.mapInArrow(_few, "rep long, few binary"), "few")
     found: list[DataFrame] = []
-    nodes = _branch(reps, True)
+    link = (F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    nodes = _branch(reps.withColumn("label", F.col("rep")), True)
     for depth in range(1, DEPTH + 1):
         nodes = written(nodes, "paths")
-        sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        if depth == 1:  # all labels differ
+            sizes = nodes.groupBy("path").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+        else:
+            sizes = _by_label(nodes).where("others > 0").select("path", "n")
         nodes = written(nodes.join(sizes, "path").join(few, "rep"), "nodes")
         small = nodes.where(F.col("n") <= node_limit).repartition("path").sortWithinPartitions("path")
         found.append(small.mapInArrow(_compare, "a long, b long"))
@@ -235,8 +275,12 @@ def candidates(reps: DataFrame, node_limit: int = NODE_LIMIT) -> DataFrame:
         if large.isEmpty():
             break
         settled = written(_settled(large), "settled")
-        found.append(settled.where("pivot is not null").select(F.col("rep").alias("a"), F.col("pivot").alias("b")))
-        rest = settled.where("pivot is null").select("path", "rep")
+        found.append(settled.where("pivot is not null").select(*link))
+        rest = settled.where("pivot is null").drop("pivot")
+        rest = rest.join(written(_by_label(rest).where("others > 0"), "labels"), "path")
+        last = rest.where(F.col("others") <= node_limit)
+        found.append(written(_dealt(last.where("label <> big"), last, AGREE, False), "last").select(*link))
+        rest = rest.where(F.col("others") > node_limit).select("path", "rep", "label")
         if depth == DEPTH:  # what has shared this many tokens without being like others is one group
             first = rest.groupBy("path").agg(F.min("rep").alias("b"))
             found.append(rest.join(first, "path").where("rep <> b").select(F.col("rep").alias("a"), "b"))

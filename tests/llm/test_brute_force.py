@@ -93,6 +93,16 @@ def test_near(spark, node_limit, most):
     assert {x.doc_id: (x.n_shingles, x.component_id, x.kept) for x in found.collect()} == near_truth(rows)
 
 
+def test_near_keeps_links_of_settled(spark):
+    """X is like the pivots of large nodes, Y is near to X and not like any pivot."""
+    r = random.Random(10)
+    a, b, c, d = ([f"{k}{r.randrange(10**6)}" for _ in range(n)] for k, n in zip("abcd", (240, 187, 187, 187), strict=True))
+    rows = [(1, " ".join(a + b + c + d)), (2, " ".join(a[-48:] + b + c + d))]
+    rows += [(10_000 * k + i, " ".join([*a, *other, *(f"own{k}_{i}_{j}" for j in range(4))])) for k, other in enumerate((b, c, d), 1) for i in range(3000)]
+    found = {x.doc_id: x.component_id for x in near_dedup.near_groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == {i: i if i == 1 else 10_000 * (i // 10_000) or 1 for i in found}
+
+
 def test_components(spark):
     r = random.Random(1)
     links = [(r.randrange(300), r.randrange(300)) for _ in range(180)] + [(i, i + 1) for i in range(500, 620)]
