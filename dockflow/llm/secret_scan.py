@@ -1,8 +1,9 @@
 """Secrets in texts: fixed patterns, and literals that sensitive names are assigned to.
 
 The patterns give spans of kind assign, access and hex. The lexer reads source and configuration
-syntax (`name = "literal"`, `name: literal`, `"name": "literal"`, `NAME=$OTHER`, sums of parts)
-into pairs of a name and literals, follows names that stand for earlier literals (constants), and
+syntax (`name = "literal"`, `name: literal`, `"name": "literal"`, `NAME=$OTHER`, sums of parts,
+typed declarations with the type after or before `:`, `name[] =`, `owner["name"] =`, triple-quoted and
+backtick literals, YAML blocks, XML elements and their `name`, `key` or `id` with a `value`) into pairs of a name and literals, follows names that stand for earlier literals (constants), and
 scores each literal by the most sensitive name it reaches and by its own look. Literals with a
 score of `least` or more are spans of kind `literal`.
 
@@ -31,9 +32,21 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 HINTS = ("passw", "secret", "token", "api")
 
-PART = r"""(?:"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|[A-Za-z0-9+/_.@$\{\}~=-]+)"""
-PAIR = re.compile(rf"""(?<![\w.$-])["']?([A-Za-z_][A-Za-z0-9_.-]*)["']?[ \t]*(?::=|=>|[:=])[ \t]*({PART}(?:[ \t]*\+[ \t]*{PART})*)""", re.A)
+QUOTED = r"""(?:[rRbBuUfFL@$]{1,2}(?=["'`]))?(?:\"""(?:[^\\]|\\.)*?\"""|\'\'\'(?:[^\\]|\\.)*?\'\'\'|"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*'|`(?:[^`\\]|\\.)*`)""".replace("(?:[^\\\\]|\\\\.)", "(?:[^\\\\]|\\\\[\\s\\S])")
+PART = rf"""(?:{QUOTED}|[A-Za-z0-9+/_.@$\{{\}}~=-]+)"""
+#: A type: names with arguments in brackets, alternatives, marks of arrays and pointers.
+TYPE = r"""[*&?]*(?:\[\d*\])*[A-Za-z_][\w.]{0,63}(?:\[[^\]\n=]{0,64}\]+|<[^>\n=]{0,64}>+)*[?!*&]*(?:[ \t]*\|[ \t]*[A-Za-z_][\w.]{0,63}(?:\[[^\]\n=]{0,64}\]+)*)*"""
+KNOWN_TYPE = r"""(?:\[\]byte|\[\]rune|\*?string|String|str|char|text|byte|bytes|varchar|NSString)\b"""
+#: What follows the target's name: dimensions, a type, the operator.
+ASSIGNED = rf"""(?:(?:\[[ \t]*\w{{0,32}}[ \t]*\]){{0,3}}[ \t]*(?::=|=>|=(?!=))|\??[ \t]*:[ \t]*{TYPE}[ \t]*=(?![=>])(?=[ \t]*["'`rRbBuUfFL@$])|[ \t]+{KNOWN_TYPE}[ \t]*=(?!=)|[ \t]*:(?![:=]))"""
+SUBSCRIPT = r"""\[[ \t]*["']([A-Za-z_][A-Za-z0-9_.-]*)["'][ \t]*\][ \t]*(?::=|=(?!=))"""
+PAIR = re.compile(rf"""(?:(?<![\w.$-])["']?([A-Za-z_][A-Za-z0-9_.-]*)["']?{ASSIGNED}|{SUBSCRIPT})[ \t]*({PART}(?:[ \t]*\+[ \t]*{PART})*)""", re.A)
+#: `name: |` and the more indented lines after it.
+BLOCK = re.compile(r"""^([ \t]*(?:-[ \t]+)?)["']?([A-Za-z_][A-Za-z0-9_.-]*)["']?[ \t]*:[ \t]*[|>][-+0-9]{0,2}[ \t]*\n((?:[ \t]*\n)*)(\1[ \t]+[^\n]*(?:\n(?:\1[ \t]+[^\n]*|[ \t]*(?=\n)))*)""", re.A | re.M)
+ELEMENT = re.compile(r"""<([A-Za-z_][\w.:-]*)((?:[ \t\n]+[A-Za-z_][\w.:-]*[ \t]*=[ \t]*(?:"[^"<]*"|'[^'<]*'))*)[ \t\n]*(?:/>|>(?:[ \t\n]*(?:<!\[CDATA\[([^\]]*)\]\]>|([^<>]*))[ \t\n]*(?=</\1))?)""", re.A)
+ATTRIBUTE = re.compile(r"""([A-Za-z_][\w.:-]*)[ \t]*=[ \t]*(?:"([^"<]*)"|'([^'<]*)')""", re.A)
 ONE = re.compile(PART, re.A)
+OPENING = re.compile(r"""([rRbBuUfFL@$]{0,2})(\"""|\'\'\'|["'`])(?=[\s\S]*\2$)""")
 NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+", re.A)
 REFERENCE = re.compile(r"(?:\$\{?)?([A-Za-z_][A-Za-z0-9_.-]*)\}?", re.A)
 #: How sensitive a part of a name is.
@@ -69,23 +82,48 @@ def pairs(text: str) -> list[tuple[float, int, int, str]]:
     worth: list[float] = []
     latest: dict[str, int] = {}
     for m in PAIR.finditer(text):
-        own, to = [], []
-        for p in ONE.finditer(m[2]):
-            start, part = m.start(2) + p.start(), p[0]
-            if part[0] in "\"'" and len(part) > 1:
-                own.append((start + 1, start + len(part) - 1, part[1:-1]))
+        own, to, name = [], [], m[1] or m[2]
+        for p in ONE.finditer(m[3]):
+            start, part = m.start(3) + p.start(), p[0]
+            if q := OPENING.match(part):
+                wide = len(q[2])
+                own.append((start + q.end(), start + len(part) - wide, part[q.end() : -wide]))
             elif (r := REFERENCE.fullmatch(part)) and r[1] in latest:
                 to.append(latest[r[1]])
             else:
                 own.append((start, start + len(part), part))
-        latest[m[1]] = len(worth)
+        latest[name] = len(worth)
         literals.append(own)
         refers.append(to)
-        worth.append(sensitivity(m[1]))
+        worth.append(sensitivity(name))
     for i in range(len(worth) - 1, -1, -1):
         for to in refers[i]:
             worth[to] = max(worth[to], worth[i])
-    return [(w, *x) for w, own in zip(worth, literals, strict=True) for x in own]
+    return [(w, *x) for w, own in zip(worth, literals, strict=True) for x in own] + blocks(text) + elements(text)
+
+
+def stripped(text: str, start: int, end: int) -> tuple[int, int, str]:
+    part = text[start:end]
+    start += len(part) - len(part.lstrip())
+    return start, start + len(part.strip()), part.strip()
+
+
+def blocks(text: str) -> list[tuple[float, int, int, str]]:
+    """Block values of YAML, as `pairs`."""
+    found = BLOCK.finditer(text) if "|" in text or ">" in text else ()
+    return [(sensitivity(m[2]), *stripped(text, m.start(4), m.end(4))) for m in found]
+
+
+def elements(text: str) -> list[tuple[float, int, int, str]]:
+    """Texts of XML elements by the element's name or its `name`, `key` or `id`, and their `value`, as `pairs`."""
+    out = []
+    for m in ELEMENT.finditer(text) if "<" in text else ():
+        places = {a[1].lower(): (m.start(2) + a.start(a.lastindex), m.start(2) + a.end(a.lastindex)) for a in ATTRIBUTE.finditer(m[2])}
+        named = [text[slice(*places[k])] for k in ("name", "key", "id") if k in places]
+        worth = max(map(sensitivity, [m[1].split(":")[-1], *named]))
+        inner = [m.span(k) for k in (3, 4) if m[k]]
+        out += [(worth, *stripped(text, *x)) for x in [*inner, *([places["value"]] if "value" in places else [])]]
+    return out
 
 
 def spans(text: str, least: float = 0.6) -> list[tuple[str, int, int]]:
@@ -97,7 +135,7 @@ def spans(text: str, least: float = 0.6) -> list[tuple[str, int, int]]:
     if "AKIA" in text:
         found |= {(m.start(), 1, m.end()) for m in ACCESS.finditer(text) if len(m[0]) >= 20}
     found |= {(m.start(), 2, m.end()) for m in HEX.finditer(text)}
-    if "=" in text or ":" in text:
+    if "=" in text or ":" in text or "</" in text:
         found |= {(start, 3, end) for worth, start, end, literal in pairs(text) if worth and worth * look(literal) >= least}
     return [(KINDS[k], a, b) for a, k, b in sorted(found)]
 

@@ -163,6 +163,20 @@ def test_secrets_lexer():
     assert len(literal("x = '" + value + "'\n" + "x = x + 'Qw8Er2Ty9Ui4'\n" * 2000 + "secret = x")) == 2001
 
 
+FORMS = [
+    'password: str = "{}"', "let apiKey: string = '{}'", 'token: Optional[str] = "{}"', 'secret: str | None = "{}"', 'var password string = "{}"', 'char password[] = "{}"',
+    'os.environ["DB_PASSWORD"] = "{}"', "config['db']['secret'] = '{}'", 'password = """{}"""', "password = \'\'\'{}\n\'\'\'", "const authToken = `{}`", 'password = r"{}"',
+    "db:\n  password: |\n    {}\n  port: 1", "secret: >-\n  {}\n", "<password>{}</password>", '<add key="dbPassword" value="{}"/>', "<entry key='api_key'>\n {}\n</entry>", "<secret><![CDATA[{}]]></secret>",
+]
+
+
+@pytest.mark.parametrize("form", FORMS)
+def test_secrets_forms(form):
+    value = "Zk8Qp2LmX9rT4vB7"
+    text = "x = 1\n" + form.replace("{}", value) + "\ny = 2\n"
+    assert [text[a:b].strip() for k, a, b in secret_scan.spans(text) if k == "literal"] == [value]
+
+
 def test_licenses(docs):
     known = license_scan.compile_templates(license_scan.TEMPLATES)
 
