@@ -47,7 +47,10 @@ def part(column: str | Column) -> Column:
 
 def weight_table(spark: SparkSession, weights: dict[tuple, int]) -> DataFrame:
     """(path, weight) from {(domain,): 3, (domain, language): 2, ...}; None stands for null. A level
-    given as "*" holds for every value of it."""
+    given as "*" holds for every value of it. Weights that aren't whole numbers are an error: shares
+    like 0.6 and 0.4 are to be given as 3 and 2."""
+    if broken := {k: w for k, w in weights.items() if w != w or w in (float("inf"), float("-inf")) or w != int(w)}:
+        raise ValueError(f"weights must be whole numbers: {broken}")
     name = lambda x: "*" if x == "*" else "-" if x is None else "=" + str(x).replace("%", "%25").replace("/", "%2F")
     rows = [("/".join(name(x) for x in k), int(w)) for k, w in weights.items()]
     return spark.createDataFrame(rows, "path string, weight long")

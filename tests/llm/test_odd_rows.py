@@ -54,6 +54,13 @@ def test_mixing_budget(odd):
     assert sum(r.taken for r in rows) == int(total * 0.5)
 
 
+@pytest.mark.parametrize("weight", [0.6, 2.9, float("nan"), float("inf")])
+def test_mixing_weights_are_whole(spark, weight):
+    with pytest.raises(ValueError, match="whole"):
+        mixing.weight_table(spark, {("d0",): weight, ("d1",): 1})
+    assert [x.weight for x in mixing.weight_table(spark, {("d0",): 2.0}).collect()] == [2]
+
+
 def test_unlettered_is_und(odd):
     found = {r.doc_id: r for r in language_id.languages(odd, language_id.train(odd)).collect()}
     assert all(found[k].lang_pred == "und" and found[k].score == 0 for k in (2, 3, 4, 5)) and found[9].lang_pred != "und"
