@@ -7,6 +7,13 @@ unit of size a only if 2 * min(a, b) >= least * (a + b). Units without a bigram
 are out at once. A unit matches the template of the highest coefficient (ties: the first id in
 order), if that is `least` or more.
 
+Notices that are wrapped over lines, or stand within a longer line, are found in windows: runs of
+consecutive words over the whole text, across line breaks and comment marks (which are no words),
+of at most 1.5 times a template's bigrams. As an optimal window starts and ends with a bigram of its
+template, only these are looked at. Of overlapping windows that reach `least` the one with the most
+common bigrams counts, then the higher coefficient, the first id, the first place. A window in a
+line that matches, or over units that match the same template, is not given again.
+
 The templates' bigrams are broadcast: their number is the templates', not the data's. Null and
 empty texts, and units of fewer than two words, match nothing. Repeated rows get equal results.
 Only doc_id and text are read.
@@ -41,6 +48,18 @@ TEMPLATES = {
     "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/.",
     "all-rights-reserved": "All rights reserved.",
 }
+_BSD_END = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_BSD = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution. "
+#: Whole texts of the short licences, and the whole headers of the long ones.
+TEMPLATES |= {
+    "Apache-2.0-header": TEMPLATES["Apache-2.0-notice"] + " Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License.",
+    "BSD-2-Clause-full": _BSD + _BSD_END,
+    "BSD-3-Clause-full": _BSD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _BSD_END,
+    "GPL-2.0-header": TEMPLATES["GPL-2.0-notice"] + " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
+    "GPL-3.0-header": TEMPLATES["GPL-3.0-notice"] + " This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details. You should have received a copy of the GNU General Public License along with this program. If not, see <https://www.gnu.org/licenses/>.",
+    "ISC-full": TEMPLATES["ISC"] + " THE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "MIT-full": TEMPLATES["MIT-text"] + " THE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+}
 
 
 def bigrams(data: np.ndarray, at: np.ndarray, prefix: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -102,9 +121,73 @@ def matches(texts: pa.Array, known: dict, least: float = LEAST) -> list[tuple[in
     return out
 
 
+def _windows_of(pair: np.ndarray, size: int, common: np.ndarray, least: float) -> list[tuple[int, float, int, int]]:
+    """(common, Dice, first, last bigram) of the best window from each start that has one; `common`
+    marks the bigrams of the template, which has `size` different ones."""
+    at = np.flatnonzero(common)
+    need = least * size / (2 - least)
+    reach = int(size * (2 - least) / least)
+    # Where each bigram stood before, so that windows count different ones.
+    order = np.argsort(pair, kind="stable")
+    before = np.full(len(pair), -1)
+    again = pair[order][1:] == pair[order][:-1]
+    before[order[1:][again]] = order[:-1][again]
+    out = []
+    for i in at[np.searchsorted(at, at + reach) - np.arange(len(at)) >= need]:
+        fresh = before[i : i + reach] < i
+        both = np.cumsum(fresh & common[i : i + reach])
+        dice = np.where(common[i : i + reach], 2 * both / (np.cumsum(fresh) + size), 0.0)
+        j = int(dice.argmax())
+        if dice[j] >= least:
+            out.append((int(both[j]), float(dice[j]), int(i), int(i) + j))
+    return out
+
+
+def windows(texts: pa.Array, known: dict, least: float = LEAST) -> list[tuple[int, int, int, int, float]]:
+    """(text, first line, last line, template, Dice) of notices within texts, lines counted from 1."""
+    data, at = column_bytes(texts)
+    pair, start, owner = bigrams(data, at, prefix_hash(data, LOWER_VALUES))
+    out = []
+    if not len(pair) or not len(known["any"]):
+        return out
+    starts, _, _ = word_spans(data, at, ALNUM)
+    second = starts[np.searchsorted(starts, start) + 1]
+    newlines = np.flatnonzero(data == 10)
+    place = np.minimum(np.searchsorted(known["any"], pair), len(known["any"]) - 1)
+    hit = known["any"][place] == pair
+    edges = np.searchsorted(owner, np.arange(len(at)))
+    for t in np.unique(owner[hit]):
+        own = slice(edges[t], edges[t + 1])
+        here = np.unique(pair[own][hit[own]])
+        found = []
+        for k, other in enumerate(known["sets"]):
+            if len(other) and len(np.intersect1d(here, other, assume_unique=True)) >= least * len(other) / (2 - least):
+                found += [(-c, -d, k, i, j) for c, d, i, j in _windows_of(pair[own], len(other), np.isin(pair[own], other), least)]
+        taken = np.zeros(edges[t + 1] - edges[t], dtype=bool)
+        first_line = np.searchsorted(newlines, at[t])
+        for _, d, k, i, j in sorted(found):
+            if not taken[i : j + 1].any():
+                taken[i : j + 1] = True
+                lines = np.searchsorted(newlines, [start[own][i], second[own][j]]) - first_line + 1
+                out.append((int(t), int(lines[0]), int(lines[1]), k, -d))
+    return out
+
+
+def notices(texts: pa.Array, known: dict, least: float = LEAST) -> list[tuple[int, int, int, float]]:
+    """(text, unit, template, Dice) of all matches: whole texts (unit 0), lines, and windows by their first line."""
+    out = [(t, unit, k, dice) for t, unit, _, k, dice in matches(texts, known, least)]
+    by_line = {(t, unit): k for t, unit, k, _ in out}
+    same = {(t, k, unit) for t, unit, k, _ in out}
+    for t, first, last, k, dice in windows(texts, known, least):
+        decided = first == last and (t, first) in by_line
+        if not decided and not any((t, k, unit) in same for unit in (0, *range(first, last + 1))):
+            out.append((t, first, k, dice))
+    return out
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float = LEAST) -> DataFrame:
     """doc_id, n_matches, license and score of the best match (null without one), and all matches
-    as `line:template` in order, line 0 being the whole text."""
+    as `line:template` in order, line 0 being the whole text; a notice over several lines has its first."""
     shared = docs.sparkSession.sparkContext.broadcast(compile_templates(TEMPLATES if templates is None else templates))
 
     def read(batches):
@@ -112,7 +195,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, least: float
             for piece in pieces(batch):
                 known, n = shared.value, len(piece)
                 found: list[list[tuple]] = [[] for _ in range(n)]
-                for t, unit, _, template, dice in matches(text_of(piece), known, least):
+                for t, unit, template, dice in notices(text_of(piece), known, least):
                     found[t].append((unit, known["ids"][template], dice))
                 best = [min(((-d, k) for _, k, d in f), default=(None, None)) for f in found]
                 yield pa.RecordBatch.from_arrays([

@@ -200,6 +200,21 @@ def test_licenses(docs):
     assert got == want
 
 
+@pytest.mark.parametrize("name", ["MIT-full", "BSD-3-Clause-full", "Apache-2.0-header", "GPL-3.0-header"])
+def test_licenses_wrapped(name):
+    import textwrap
+
+    import pyarrow as pa
+
+    known = license_scan.compile_templates(license_scan.TEMPLATES)
+    code = "\n".join(f"def f{i}(x{i}): return x{i} + {i}" for i in range(3000))
+    wrapped = "\n".join(" * " + x for x in textwrap.wrap(license_scan.TEMPLATES[name].replace("use", "make use", 1), 60))
+    inside = "Copyright X. Released under the MIT License. See the docs for how it is built and for whom to ask."
+    rows = [f"{code}\n/*\n{wrapped}\n */\n{code}", inside, code, "See the License. " + code]
+    found = [(t, u, known["ids"][k]) for t, u, k, _ in license_scan.notices(pa.array(rows), known)]
+    assert {(0, 3002, name), (1, 1, "MIT")} <= set(found) and {t for t, _, _ in found} == {0, 1}
+
+
 def test_lm_ways(docs):
     some = docs.where("doc_id < 150")
     packed, joined = ({x.doc_id: (x.n_words, round(x.log_score, 6)) for x in lm_score.scores(some, most=most).collect()} for most in (lm_score.MOST_ROWS, 1))
