@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dockflow.llm import decontaminate, exact_dedup, language_id, license_scan, lm_score, mixing, near_dedup, quality, repeat_spans, secret_scan
+from dockflow.llm import (
+    decontaminate, exact_dedup, fill_middle, language_id, license_scan, lm_score, mixing, near_dedup, quality, repeat_spans, secret_scan, sharding,
+)
 from dockflow.llm.common import ship, table
 from dockflow.llm.sql import SQL
 
@@ -15,6 +17,7 @@ KEEP_SCORE = 0.3
 #: The tree is domain, language, source; source numbers make four domains.
 WEIGHTS = {("d0",): 4, ("d1",): 3, ("d2",): 2, ("d3",): 1, ("*", "en"): 5, ("*", "de"): 2, ("*", "fr"): 2, ("*", "es"): 4}
 SHARE, EPOCHS, SEED = 0.5, 2, 17
+SHARDS = 8
 
 
 def levels() -> dict[str, Column]:
@@ -85,6 +88,18 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op11_sharding(spark: SparkSession, folder: str) -> DataFrame:
+    out = sharding.shard(table(spark, folder, "documents"), SHARDS)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    out = fill_middle.restored(fill_middle.fill_in_middle(table(spark, folder, "documents")))
+    digests = (F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256") for c in ("output", "restored"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -93,6 +108,9 @@ def pipeline(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
-    for f in (op1_mixing, op2_quality, op3_secrets, op4_lm_score, op5_exact_dedup, op6_near_dedup, op7_language, op8_licenses, op9_repeats, op10_decontaminate, pipeline)
+    for f in (
+        op1_mixing, op2_quality, op3_secrets, op4_lm_score, op5_exact_dedup, op6_near_dedup, op7_language, op8_licenses, op9_repeats, op10_decontaminate,
+        op11_sharding, op12_fill_middle, pipeline,
+    )
 }
 ORACLE = SQL

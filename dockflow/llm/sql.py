@@ -5,6 +5,15 @@ from __future__ import annotations
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 SPACED = r"[^\x20\x09-\x0D]+"
 
+#: CRC-32 of a text's bytes: `crc` has the table of the polynomial, eight shifts for each byte value.
+CRC_TABLE = """crc AS (SELECT list(list_reduce(range(0, 8), lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n) ORDER BY n) AS crc FROM range(0, 256) r(n))"""
+
+
+def crc32(text: str) -> str:
+    """In a query that joins `crc`."""
+    octets = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda p: CAST('0x' || p AS BIGINT))"
+    return f"xor(list_reduce({octets}, lambda c, b: xor(crc.crc[xor(c, b) % 256 + 1], c >> 8), 4294967295), 4294967295)"
+
 
 def _mixing() -> str:
     """Each level: the children of the nodes before, filled up by weight, then by capacity."""
@@ -87,4 +96,22 @@ SQL: dict[str, str] = {
         it AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM m WHERE item_id IS NOT NULL) GROUP BY r)
         SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
         FROM dw LEFT JOIN hit USING (r) LEFT JOIN it USING (r)""",
+    "op11_sharding": f"""
+        WITH {CRC_TABLE},
+        t AS (SELECT doc_id, coalesce(text, '') AS text, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS key FROM documents),
+        k AS (SELECT *, sum(size) OVER (ORDER BY key, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS start, sum(size) OVER (PARTITION BY key) AS key_bytes, count(*) OVER (PARTITION BY key) AS key_rows,
+            greatest(1, CAST(ceil(sum(size) OVER () / 8) AS BIGINT)) AS due, count(*) OVER () AS n_rows FROM t),
+        m AS (SELECT *, CASE WHEN key_bytes > due * 0.01 OR key_rows > greatest(1.0, n_rows / 8 * 0.01) THEN start + size // 2 ELSE min(start) OVER (PARTITION BY key) + key_bytes // 2 END AS middle FROM k),
+        d AS (SELECT *, CAST(middle // due AS INT) AS shard FROM m)
+        SELECT doc_id, size, {crc32("text")} AS text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY key, doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INT) AS grown_shard
+        FROM d, crc""",
+    "op12_fill_middle": """
+        WITH t AS (SELECT doc_id, coalesce(text, '') AS text, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+        h AS (SELECT *, CAST(length(text) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2, CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM t),
+        c AS (SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+            CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain' WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM h)
+        SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN a END AS prefix_chars, CASE WHEN form <> 'plain' THEN b - a END AS middle_chars,
+            sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
+                ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a) END) AS output_sha256, sha256(text) AS restored_sha256
+        FROM c""",
 }
