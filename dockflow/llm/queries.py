@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from dockflow.llm import (
-    decontaminate, exact_dedup, fill_middle, language_id, license_scan, lm_score, mixing, near_dedup, quality, repeat_spans, secret_scan, sharding,
+    decontaminate, exact_dedup, fill_middle, language_id, license_scan, lm_score, mixing, near_dedup, prefix_trie, quality, repeat_spans, secret_scan, sharding,
 )
 from dockflow.llm.common import ship, table
 from dockflow.llm.sql import SQL
@@ -100,6 +100,12 @@ def op12_fill_middle(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
 
 
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    ship(spark)
+    turns = prefix_trie.numbered(table(spark, folder, "conversations"))
+    return prefix_trie.prefix_nodes(*prefix_trie.shared_openings(turns)).withColumnRenamed("saved", "saved_tokens")
+
+
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,7 +116,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_mixing, op2_quality, op3_secrets, op4_lm_score, op5_exact_dedup, op6_near_dedup, op7_language, op8_licenses, op9_repeats, op10_decontaminate,
-        op11_sharding, op12_fill_middle, pipeline,
+        op11_sharding, op12_fill_middle, op13_prefix_trie, pipeline,
     )
 }
 ORACLE = SQL

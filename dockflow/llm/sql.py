@@ -114,4 +114,22 @@ SQL: dict[str, str] = {
             sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || substr(text, 1, a) || '<S>' || substr(text, b + 1) || '<M>' || substr(text, a + 1, b - a)
                 ELSE '<S>' || substr(text, b + 1) || '<P>' || substr(text, 1, a) || '<M>' || substr(text, a + 1, b - a) END) AS output_sha256, sha256(text) AS restored_sha256
         FROM c""",
+    "op13_prefix_trie": f"""
+        WITH {CRC_TABLE},
+        t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+        m AS (SELECT conv_id, turn, text, md5(CAST(length(role) AS VARCHAR) || ':' || role || text) AS id FROM t),
+        o AS (SELECT conv_id, text, id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, id) AS i FROM m),
+        c AS (SELECT conv_id, {crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM (SELECT DISTINCT conv_id FROM o), crc),
+        r AS (SELECT c.conv_id, 0 AS part, i, text, id FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 100 AND o.i <= c.h
+            UNION ALL SELECT c.conv_id, 1, i, text, id FROM c JOIN o ON o.conv_id = c.conv_id AND o.i > c.h),
+        d AS (SELECT conv_id, text, id, row_number() OVER (PARTITION BY conv_id ORDER BY part, i) AS depth FROM r),
+        p AS (SELECT conv_id, depth, text, string_agg(id, '/') OVER (PARTITION BY conv_id ORDER BY depth) AS path FROM d UNION ALL SELECT conv_id, 0, '', '' FROM c),
+        e AS (SELECT *, lag(path) OVER w AS above, depth = max(depth) OVER (PARTITION BY conv_id) AS ends FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY depth)),
+        n AS (SELECT path, depth, min(conv_id) AS conv_id, count(*) AS n_convs, any_value(above) AS above, any_value(length(text)) AS points,
+            coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (WHERE ends), '') AS ends FROM e GROUP BY path, depth),
+        k AS (SELECT above AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY above),
+        u AS (SELECT DISTINCT x.path, y.path AS below FROM e x JOIN e y ON x.conv_id = y.conv_id AND x.depth <= y.depth),
+        s AS (SELECT u.path, CAST(sum((n.n_convs - 1) * n.points) AS BIGINT) AS saved_tokens, count(*) FILTER (WHERE k.path IS NULL) AS n_leaves FROM u JOIN n ON n.path = u.below LEFT JOIN k ON k.path = u.below GROUP BY u.path)
+        SELECT n.conv_id, n.depth, up.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, sha256(n.ends) AS ends_sha256
+        FROM n LEFT JOIN k USING (path) JOIN s USING (path) LEFT JOIN n up ON up.path = n.above AND n.depth > 0""",
 }
