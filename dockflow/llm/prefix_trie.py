@@ -135,7 +135,7 @@ class DoubleArray:
         self.base = np.zeros(room, dtype=np.int64)
         self.check = np.full(room, -1, dtype=np.int64)
         self.check[0] = 0
-        self.free = 1  # no slot below is free
+        self.free = self.top = 1  # no slot below free is free, none from top on is taken
 
     def _grow(self, size: int) -> None:
         if size > len(self.check):
@@ -153,12 +153,14 @@ class DoubleArray:
 
     def _place(self, symbols: np.ndarray) -> int:
         """A base at which the slots of all symbols are free."""
+        span = int(symbols[-1] - symbols[0]) + 1
+        self._grow(self.top + span + TRIES)
         for slot in self._free_slots(TRIES):
             want = slot - symbols[0] + symbols
             self._grow(int(want[-1]) + 1)
             if (self.check[want] < 0).all():
                 return int(slot - symbols[0])
-        return len(self.check) - int(symbols[0])
+        return self.top - int(symbols[0])
 
     def add(self, state: np.ndarray, symbol: np.ndarray) -> None:
         """Children of states that have none yet, as distinct pairs sorted by state and symbol."""
@@ -170,10 +172,12 @@ class DoubleArray:
             self._grow(base + int(own[-1]) + 1)
             self.base[state[a]] = base
             self.check[base + own] = state[a]
+            self.top = max(self.top, base + int(own[-1]) + 1)
         alone = first[size == 1]
         slots = self._free_slots(len(alone))
         self.base[state[alone]] = slots - symbol[alone]
         self.check[slots] = state[alone]
+        self.top = max(self.top, int(slots.max(initial=0)) + 1)
         used = np.flatnonzero(self.check[self.free :] < 0)
         self.free += int(used[0]) if len(used) else len(self.check) - self.free
 
@@ -195,20 +199,27 @@ def _trie(segment: int):
         piece, r1, r2, cut, weight, least, goes_on = (column(k) for k in ("piece", "r1", "r2", "cut", "n", "least", "goes_on"))
         begin = np.cumsum(size) - size
 
-        symbol = _dense(g1, g2)
+        turn = _dense(g1, g2)
+        symbol = np.full(int(turn.max(initial=-1)) + 1, -1, dtype=np.int64)
         start = _dense(piece, r1, r2)
-        trie = DoubleArray(2 * (len(symbol) + len(start)) + 16)
+        trie = DoubleArray(2 * (len(turn) + len(start)) + 16)
         root_symbols = np.unique(start)
         trie.add(np.zeros(len(root_symbols), dtype=np.int64), root_symbols)
         state = trie.child(np.zeros(len(start), dtype=np.int64), start)
         roots = state.copy()
         on = np.flatnonzero(size > 0)
-        level = 0
+        level = known = 0
         while len(on):
-            here = np.column_stack([state[on], symbol[begin[on] + level]])
-            pairs = np.unique(here, axis=0)
+            # A turn is a symbol of one depth. Numbered in the order of their states, the children of a state
+            # are close together, and so are their slots.
+            own = turn[begin[on] + level]
+            by_state = own[np.lexsort((own, state[on]))]
+            met, at = np.unique(by_state, return_index=True)
+            symbol[met[np.argsort(at)]] = known + np.arange(len(met))
+            known += len(met)
+            pairs = np.unique(np.column_stack([state[on], symbol[own]]), axis=0)
             trie.add(pairs[:, 0], pairs[:, 1])
-            state[on] = trie.child(here[:, 0], here[:, 1])
+            state[on] = trie.child(state[on], symbol[own])
             level += 1
             on = on[size[on] > level]
 
@@ -229,7 +240,7 @@ def _trie(segment: int):
         state = state.copy()
         for k in range(level):
             at = begin[on] + k
-            slot = trie.child(state[on], symbol[at])
+            slot = trie.child(state[on], symbol[turn[at]])
             state[on] = slot
             sum1[on] += g1[at].view(np.uint64)
             sum2[on] += g2[at].view(np.uint64)
