@@ -106,6 +106,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
         overview.overview_mix,
         overview.overview_duration,
         overview.load_profile,
+        overview.file_row_faults,
         overview.file_selection,
         overview.file_load_plan,
     )

@@ -11,7 +11,8 @@ from dockflow.functions.figures import MICROS_PER_MINUTE, exact_sum, ratio
 from dockflow.functions.trip import SECONDS_PER_DAY, count_where, positive, rides
 from dockflow.operators.quantiles import wide_quantiles
 from dockflow.operators.shares import long_counts, share_of
-from dockflow.sources.files import period_of, wanted_name, with_status
+from dockflow.sources.files import LONG, SHORT, period_of, row_fault, wanted_name, with_status
+from dockflow.sources.schema import TRIP_FILE
 
 
 def overview_counts(trips: DataFrame) -> DataFrame:
@@ -90,3 +91,22 @@ def file_load_plan(trips: DataFrame, known: Sequence[str] = ()) -> DataFrame:
     path = F.concat_ws("/", "rideable_type", "file_name").alias("path")
     listed = trips.filter(wanted_name(name)).groupBy("file_name", path).agg(rides())
     return with_status(listed, name.isin(*known))
+
+
+def file_row_faults(trips: DataFrame, every_short: int = 61, every_long: int = 67) -> DataFrame:
+    """Rows of each file that a load would take or reject, if the trips were written as lines of trip
+    files and every so many of them lost its last field or got one more."""
+
+    def quoted(name: str) -> Column:
+        return F.concat(F.lit('"'), F.replace(F.coalesce(F.col(name).cast("string"), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+
+    ride = F.col("ride_id").try_cast("bigint")
+    *most, last = [quoted(name) for name in TRIP_FILE.names]
+    rest = F.when(ride % every_short == 0, F.array(F.lit(None).cast("string"))).when(ride % every_long == 0, F.array(last, F.lit("more,"))).otherwise(F.array(last))
+    line = F.concat_ws(",", *most, rest)
+    faults = trips.select("file_name", "n", row_fault(line, len(TRIP_FILE.names)).alias("fault"))
+    return faults.groupBy("file_name").agg(
+        rides("rows"),
+        count_where(F.col("fault") == SHORT, "short"),
+        count_where(F.col("fault") == LONG, "long"),
+    )

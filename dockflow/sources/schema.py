@@ -22,3 +22,6 @@ TRIP_FILE = T.StructType(
         T.StructField("member_casual", T.StringType()),
     ]
 )
+
+#: A file without these columns has no trips.
+NEEDED = ("started_at", "ended_at")

@@ -401,6 +401,9 @@ BODIES = {
         {where("ended_at IS NULL")} AS bad_end, {where("secs <= 0 OR secs >= 86400")} AS bad_duration,
         {where("start_station_name IS NULL")} AS no_start_station,
         {where("end_station_name IS NULL")} AS no_end_station FROM trips""",
+    "file_row_faults": f"""SELECT file_name, {N} AS rows, count(*) FILTER (WHERE CAST(ride_id AS BIGINT) % 61 = 0) AS short,
+        count(*) FILTER (WHERE CAST(ride_id AS BIGINT) % 61 <> 0 AND CAST(ride_id AS BIGINT) % 67 = 0) AS long
+      FROM trips GROUP BY file_name""",
     "file_selection": f"""SELECT file_name, file_name LIKE '%.csv' AND file_name NOT LIKE 'JC-%' AS wanted,
         nullif(regexp_extract(file_name, '^[0-9]{{6}}'), '') AS period, {N} AS rides
       FROM trips GROUP BY file_name""",

@@ -1,6 +1,9 @@
 """Trip files, the trip table, incremental loads and result files."""
 
 import os
+from concurrent.futures import ThreadPoolExecutor
+from threading import Barrier
+from unittest.mock import patch
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,12 +13,17 @@ from dockflow.functions.trip import prepare
 from dockflow.plans.catalog import QUERIES
 from dockflow.plans.cells import CELLS
 from dockflow.plans.reports import DOCUMENTS, SECTIONS, runner, write_reports
-from dockflow.sources.files import list_trip_files, scan_trip_files
+from dockflow.sources import table as table_module
+from dockflow.sources.claims import claim, numbers
+from dockflow.sources.files import list_trip_files, rejected_rows, scan_trip_files
 from dockflow.sources.results import read_result, write_result
 from dockflow.sources.schema import TRIP_FILE
-from dockflow.sources.table import next_load, read_trips, table_rows, write_trips
+from dockflow.sources.table import (
+    generation_folder, manifest, next_load, read_trips, rejects, replace_table, table_figures, table_rows, write_trips,
+)
 from dockflow.sources.warehouse import raw_trips
-from dockflow.streaming.incremental import load_new_files, load_plan
+from dockflow.streaming import incremental
+from dockflow.streaming.incremental import load_new_files, load_plan, reload_all_files
 from tests.compare import spark_rows
 from tests.hand import ROWS, raw
 
@@ -71,11 +79,20 @@ def test_scan_keeps_text_and_prunes_columns(spark, files):
     assert narrow.count() == 10
 
 
-def test_unexpected_header_is_refused(spark, run_dir):
-    swapped = HEADER.replace("ride_id,rideable_type", "rideable_type,ride_id")
-    put(run_dir, "202301-tripdata_1.csv", header=swapped)
-    with pytest.raises(Exception, match="CSV header does not conform"):
-        scan_trip_files(spark, run_dir).collect()
+def test_headers_are_read_by_name(spark, run_dir):
+    put(run_dir, "202301-tripdata_1.csv")
+    names = HEADER.split(",")
+    turned = [*reversed(names), "extra", "ride_id"]
+    path = os.path.join(run_dir, "202302-tripdata_1.csv")
+    with open(path, "w") as file:
+        file.write("\ufeff" + ",".join(f'"{n.upper()}"' for n in turned) + "\n")
+        for row in ROWS:
+            file.write(",".join([*reversed(line(row).split(",")), "more", "other id"]) + "\n")
+    columns = [F.col(n) for n in TRIP_FILE.names]
+    by_period = {p: scan_trip_files(spark, run_dir).filter(F.col("file_period") == p).select(*columns) for p in ("202301", "202302")}
+    assert spark_rows(by_period["202301"]) == spark_rows(by_period["202302"])
+    narrow = scan_trip_files(spark, run_dir, ["started_at"]).groupBy("started_at").count()
+    assert all(n % 2 == 0 for _, n in narrow.collect())
 
 
 def test_files_give_the_same_answers(spark, run_dir, small):
@@ -222,13 +239,119 @@ def test_load_loses_nothing(spark, files, run_dir):
     load_new_files(spark, files, table)
     assert count() == 15
     assert {r.status for r in load_plan(spark, files, table).collect()} == {"skipped"}
-    # A run that died before the manifest: its rows aren't seen, and its number is used again.
+    # A run that died before the manifest: its rows aren't seen.
     put(files, "202407-tripdata.csv", ROWS[:1])
     load = next_load(spark, table)
-    table_rows(scan_trip_files(spark, old)).write.partitionBy("year", "month").parquet(f"{table}/load={load}")
+    folder = generation_folder(spark, table)
+    table_rows(scan_trip_files(spark, old)).write.partitionBy("year", "month").parquet(f"{folder}/load={load}")
     assert count() == 15
     load_new_files(spark, files, table)
     assert count() == 16 and next_load(spark, table) == load + 1
+    # The same, but its writer had claimed a number: nobody else takes it.
+    assert claim(spark, f"{folder}/_claims/load") == load + 1
+    put(files, "202408-tripdata.csv", ROWS[:1])
+    load_new_files(spark, files, table)
+    assert count() == 17 and next_load(spark, table) == load + 3
+
+
+def test_claims_are_exclusive(spark, run_dir):
+    with ThreadPoolExecutor(8) as pool:
+        got = list(pool.map(lambda _: claim(spark, f"{run_dir}/claims"), range(40)))
+    assert sorted(got) == list(range(1, 41)) == numbers(spark, f"{run_dir}/claims")
+    assert claim(spark, f"{run_dir}/claims", 100) == 100
+    assert numbers(spark, f"{run_dir}/none") == []
+
+
+def test_loads_at_the_same_time_lose_and_double_nothing(spark, run_dir):
+    """Each of two loads has planned, and takes one file of its own and one that both see, before either writes."""
+    csv, table = os.path.join(run_dir, "csv"), os.path.join(run_dir, "trips")
+    put(csv, "a/202301-tripdata.csv", ROWS[:2])
+    put(csv, "b/202302-tripdata.csv", ROWS[:3])
+    put(csv, "b/202301-tripdata.csv", ROWS[:2])
+    planned = Barrier(2)
+    real = incremental.checked_rows
+
+    def together(*args):
+        planned.wait(120)
+        return real(*args)
+
+    with patch.object(incremental, "checked_rows", together), ThreadPoolExecutor(2) as pool:
+        done = [pool.submit(load_new_files, spark, f"{csv}/{folder}", table) for folder in "ab"]
+        assert [d.result(300) for d in done] == [None, None]
+    stored = read_trips(spark, table)
+    assert {tuple(r) for r in stored.groupBy("file_name").count().collect()} == {("202301-tripdata.csv", 2), ("202302-tripdata.csv", 3)}
+    assert table_figures(spark, table).first().rows_loaded == 5 == stored.count()
+    assert {r.status for r in load_plan(spark, csv, table).filter("status <> 'repeated'").collect()} == {"skipped"}
+    load_new_files(spark, csv, table)
+    assert read_trips(spark, table).count() == 5
+
+
+def test_a_replacement_that_dies_leaves_the_old_table(spark, files, run_dir):
+    table = os.path.join(run_dir, "trips")
+    write_trips(scan_trip_files(spark, files), table, gather=False)
+    before = spark_rows(QUERIES["load_profile"](read_trips(spark, table)))
+    broken = scan_trip_files(spark, files).withColumn("ride_id", F.when(F.col("ride_id") == "e7", F.raise_error(F.lit("lost"))).otherwise(F.col("ride_id")))
+    with pytest.raises(Exception, match="lost"):
+        write_trips(broken, table, gather=False)
+    with patch.object(table_module, "publish", side_effect=RuntimeError("dies before it is published")), pytest.raises(RuntimeError):
+        write_trips(scan_trip_files(spark, files), table, gather=False)
+    assert spark_rows(QUERIES["load_profile"](read_trips(spark, table))) == before
+    # A reader that began before the replacement goes on with the old rows.
+    reading = read_trips(spark, table)
+    put(files, "202409-tripdata.csv", ROWS[:1])
+    reload_all_files(spark, files, table, files_per_load=2)
+    assert (reading.count(), read_trips(spark, table).count()) == (10, 11)
+    assert {r.status for r in load_plan(spark, files, table).collect()} == {"skipped"}
+
+
+def test_a_load_into_a_replaced_table_is_written_again(spark, files, run_dir):
+    table = os.path.join(run_dir, "trips")
+    load_new_files(spark, files, table)
+    put(files, "202409-tripdata.csv", ROWS[:1])
+    real = table_module.write_to
+
+    def overtaken(folder, rows, *how):
+        if folder == table:
+            replace_table(table, table_rows(scan_trip_files(spark, os.path.join(files, "deeper"))).limit(3))
+        return real(folder, rows, *how)
+
+    with patch.object(table_module, "write_to", overtaken):
+        load_new_files(spark, files, table)
+    assert read_trips(spark, table).count() == 4
+
+
+def test_rejects(spark, run_dir):
+    csv, table = os.path.join(run_dir, "csv"), os.path.join(run_dir, "trips")
+    put(csv, "202301-tripdata.csv", ROWS[:4])
+    put(csv, "202302-tripdata.csv", ROWS[:3])
+    put(csv, "202303-tripdata.csv", ROWS[:2], header="one,two,started_at")
+    open(os.path.join(csv, "202304-tripdata.csv"), "w").close()
+    with open(os.path.join(csv, "202302-tripdata.csv"), "a") as file:
+        file.write('s1,classic_bike,"2024-01-01 08:00:00",2024\n' + line(ROWS[0]) + ",more\n" + '"x,y",short "",too\n')
+    load_new_files(spark, csv, table)
+    assert read_trips(spark, table).count() == 7
+    bad = sorted((r.file_name, r.fault, r.row) for r in rejects(spark, table).collect())
+    assert [b[:2] for b in bad] == [("202302-tripdata.csv", "long"), ("202302-tripdata.csv", "short"), ("202302-tripdata.csv", "short"), ("202303-tripdata.csv", "header")]
+    assert bad[0][2] == line(ROWS[0]) + ",more" and bad[3][2] == "one,two,started_at"
+    assert sorted((r.file_name, r.rows, r.rejected) for r in manifest(spark, table).collect()) == [
+        ("202301-tripdata.csv", 4, 0), ("202302-tripdata.csv", 3, 3), ("202303-tripdata.csv", 0, 1)]  # Spark lists no empty files
+    assert scan_trip_files(spark, csv).count() == 7 and rejected_rows(spark, csv).count() == 4
+    # Good files alone: nothing is parsed twice, and there are no rejects.
+    good = os.path.join(run_dir, "good")
+    load_new_files(spark, os.path.join(csv, "202301-tripdata.csv"), good)
+    assert rejects(spark, good).count() == 0 and not os.path.exists(f"{good}/_rejects")
+
+
+def test_figures_read_no_trips(spark, files, run_dir):
+    table = os.path.join(run_dir, "trips")
+    assert table_figures(spark, table).first().asDict() == {"rows_loaded": 0, "rows_rejected": 0, "files": 0, "first_start": None, "last_start": None, "latest_month": None}
+    load_new_files(spark, files, table, files_per_load=1)
+    trips, figures = read_trips(spark, table), table_figures(spark, table)
+    assert all("/_entries/" in name for name in figures.inputFiles())
+    found = figures.first()
+    want = trips.agg(F.count(F.lit(1)), F.min("started_at"), F.max("started_at"), F.max("month_no")).first()
+    assert (found.rows_loaded, found.first_start, found.last_start, found.latest_month) == tuple(want)
+    assert (found.files, found.rows_rejected) == (3, 0)
 
 
 def test_no_overflow(spark):
