@@ -79,60 +79,102 @@ def ranked_profile(
     )
 
 
-def wide_quantiles(
-    frame: DataFrame, keys: Sequence[str], value: str, quantiles: Mapping[str, float]
-) -> DataFrame:
-    """Exact interpolated quantiles of any number of distinct values (whole micros) per group.
+def second_of(value: Column) -> Column:
+    return F.floor((value - F.pmod(value, F.lit(MICROS_PER_SECOND))) / MICROS_PER_SECOND)
 
-    A first read counts the rides per second. The wanted ranks are then looked up level by
-    level: among the days of a group, among the seconds of the wanted days, and, in a second
-    read that keeps the rides of the wanted seconds alone, among their values. No task holds a
-    group: it streams over the days of one group, the 86,400 seconds of a day, or the values
-    of one second. Values are shuffled for the wanted seconds only, two per quantile and group.
+
+def by_second(frame: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """One row per (keys, whole second of ``value``): rides, the sums of what they go beyond the second,
+    plain and squared, and the extremes.
+
+    The filter holds for every row. It asks for all columns, so whatever else a plan takes
+    from this table, it is the same table: counted in one read, shared by all that use it.
     """
-    names = list(quantiles)
-    day = F.floor(F.col("_second") / SECONDS_PER_DAY)
-    placed = frame.select(*keys, "n", F.col(value).alias("_value")).withColumn(
-        "_second", F.floor(F.col("_value") / MICROS_PER_SECOND)
+    over = F.pmod(F.col("_value"), F.lit(MICROS_PER_SECOND))
+    placed = frame.select(*keys, "n", F.col(value).alias("_value")).select(
+        *keys, "n", "_value", second_of(F.col("_value")).alias("_second"), over.alias("_rest")
+    )
+    seconds = placed.groupBy(*keys, "_second").agg(
+        F.sum("n").alias("n"),
+        F.sum(F.col("_rest") * F.col("n")).alias("_over"),
+        F.sum(F.col("_rest").cast("double") * F.col("_rest") * F.col("n")).alias("_squares"),
+        F.min("_value").alias("_low"),
+        F.max("_value").alias("_high"),
     )
-    seconds = counted(placed, keys, "_second").withColumn("_day", day)
+    return seconds.filter("n > 0 AND _over >= 0 AND _squares >= 0 AND _low <= _high")
 
-    def position(p: float, total: str) -> Column:
-        return F.lit(p) * (F.col(total) - 1)
 
+def wanted_seconds(seconds: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """The seconds that hold the ranks around each quantile: ``_total`` rides of the group, ``_targets``
+    with the offset of each rank (2 i and 2 i + 1 for the i-th quantile) in the second, extremes.
+
+    Ranks are looked up among the days of a group, then among the seconds of the wanted days. Without
+    keys, the days of the longest ride are one group.
+    """
+    day = F.floor(F.col("_second") / SECONDS_PER_DAY)
+    seconds = seconds.withColumn("_day", day)
     group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(0))
     days = seconds.groupBy(*keys, "_day").agg(F.sum("n").alias("n"))
     ranks = []
-    for i, name in enumerate(names):
+    for i, p in enumerate(quantiles.values()):
         for which, whole in ((2 * i, F.floor), (2 * i + 1, F.ceil)):
-            rank = whole(position(quantiles[name], "_total"))
+            rank = whole(F.lit(p) * (F.col("_total") - 1))
             ranks.append(F.struct(F.lit(which).alias("which"), rank.alias("offset")))
     days = days.withColumn("_total", F.sum("n").over(group)).withColumn("_targets", F.array(*ranks))
     wanted = _holding(days, keys, "_day", group)
-    wanted = _holding(_inside(seconds, wanted, [*keys, "_day"]), [*keys, "_day"], "_second")
-    by_second = [*keys, "_second"]
-    values = _inside(placed, wanted.drop("_day"), by_second)
-    values = values.groupBy(*by_second, "_total", "_targets", "_value").agg(rides("n"))
-    hits = _holding(values, by_second, "_value").withColumn("_hit", F.explode("_targets"))
+    inside = _inside(seconds, wanted, [*keys, "_day"])
+    return _holding(inside, [*keys, "_day"], "_second", more=("_low", "_high")).drop("_day")
+
+
+def wide_quantiles(
+    frame: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    quantiles: Mapping[str, float],
+    seconds: DataFrame | None = None,
+) -> DataFrame:
+    """Exact interpolated quantiles of any number of distinct values (whole micros) per group.
+
+    A first read counts the rides per second (``seconds``, if the caller has it). A second read keeps
+    the rides of the seconds that hold wanted ranks alone. No task holds a
+    group: it streams over the days of one group, the 86,400 seconds of a day, or the values
+    of one second. Values are shuffled for the wanted seconds only, two per quantile and group.
+    """
+    seconds = by_second(frame, keys, value) if seconds is None else seconds
+    wanted = wanted_seconds(seconds, keys, quantiles)
+    placed = frame.select(*keys, "n", F.col(value).alias("_value")).withColumn("_second", second_of(F.col("_value")))
+    by = [*keys, "_second"]
+    inside = _inside(placed, wanted, by).groupBy(*by, "_total", "_targets", "_value").agg(rides("n"))
+    return quantile_values(inside, keys, quantiles)
+
+
+def quantile_values(inside: DataFrame, keys: Sequence[str], quantiles: Mapping[str, float]) -> DataFrame:
+    """The quantiles from the counted values of the wanted seconds."""
+    hits = _holding(inside, [*keys, "_second"], "_value").withColumn("_hit", F.explode("_targets"))
 
     def found(index: int) -> Column:
         return F.max(F.when(F.col("_hit.which") == index, F.col("_value")))
 
+    numbers = range(len(quantiles))
     picked = hits.groupBy(*keys).agg(
         F.max("_total").alias("_total"),
-        *[found(2 * i).alias(f"_low_{i}") for i in range(len(names))],
-        *[found(2 * i + 1).alias(f"_high_{i}") for i in range(len(names))],
+        *[found(2 * i).alias(f"_low_{i}") for i in numbers],
+        *[found(2 * i + 1).alias(f"_high_{i}") for i in numbers],
     )
     between = []
-    for i, name in enumerate(names):
+    for i, (name, p) in enumerate(quantiles.items()):
         low, high = F.col(f"_low_{i}"), F.col(f"_high_{i}")
-        place = position(quantiles[name], "_total")
+        place = F.lit(p) * (F.col("_total") - 1)
         between.append((low + (place - F.floor(place)) * (high - low)).alias(name))
     return picked.select(*keys, *between)
 
 
 def _holding(
-    counts: DataFrame, group: Sequence[str], step: str, window: WindowSpec | None = None
+    counts: DataFrame,
+    group: Sequence[str],
+    step: str,
+    window: WindowSpec | None = None,
+    more: Sequence[str] = (),
 ) -> DataFrame:
     """The ``step`` values of each group that hold wanted ranks, with the offsets inside them."""
     upto = (window or Window.partitionBy(*group)).orderBy(step)
@@ -143,7 +185,7 @@ def _holding(
         held, lambda t: F.struct(t.which.alias("which"), (t.offset - before).alias("offset"))
     )
     kept = counts.withColumn("_upto", F.sum("n").over(upto)).withColumn("_targets", moved)
-    return kept.filter(F.size("_targets") > 0).select(*group, step, "_total", "_targets")
+    return kept.filter(F.size("_targets") > 0).select(*group, step, "_total", "_targets", *more)
 
 
 def _inside(rows: DataFrame, wanted: DataFrame, keys: Sequence[str]) -> DataFrame:

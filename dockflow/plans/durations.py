@@ -19,6 +19,7 @@ from dockflow.functions.trip import CLASSIC, ELECTRIC, count_where, positive, ri
 from dockflow.operators.box import box_statistics
 from dockflow.operators.histogram import range_histogram
 from dockflow.operators.quantiles import (
+    by_second,
     counted,
     per_type,
     ranked_profile,
@@ -120,30 +121,25 @@ def duration_by_bike_exact(trips: DataFrame) -> DataFrame:
     return _in_minutes(profile, ["rideable_type"])
 
 
+def mean_of(unit: int) -> Column:
+    """The mean value, over the table of seconds."""
+    base = F.col("_second") * MICROS_PER_SECOND
+    return ratio(exact_sum(base, F.col("n")) + exact_sum(F.col("_over")), F.sum("n"), unit)
+
+
 def describe(frame: DataFrame, unit: int) -> DataFrame:
     """count, mean, sample deviation, minimum, quartiles and maximum of ``duration_us``.
 
     All but the quartiles come from one row per whole second: its rides, and the sums of what
-    they go beyond it, plain and squared. The deviation is added up around the mean, which loses
+    they go beyond it, plain and squared; the quartiles from that table and one more read. The deviation is added up around the mean, which loses
     no digits to cancellation.
     """
-    rest = F.col("duration_us") % MICROS_PER_SECOND
-    n, base, over = F.col("n"), F.col("_base"), F.col("_over")
-    seconds = (
-        frame.select("n", "duration_us", (F.col("duration_us") - rest).alias("_base"), rest.alias("_over"))
-        .groupBy("_base")
-        .agg(
-            F.sum("n").alias("n"),
-            F.sum(over * n).alias("_over"),
-            F.sum(over.cast("double") * over * n).alias("_squares"),
-            F.min("duration_us").alias("_low"),
-            F.max("duration_us").alias("_high"),
-        )
-    )
-    total = exact_sum(base, n) + exact_sum(over)
-    mean = ratio(total, F.sum(n), unit)
+    seconds = by_second(frame, [], "duration_us")
+    n, over = F.col("n"), F.col("_over")
+    base = F.col("_second") * MICROS_PER_SECOND
+    mean = mean_of(unit)
     center = seconds.agg(mean.alias("mean")).scalar()
-    quartiles = wide_quantiles(frame, [], "duration_us", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+    quartiles = wide_quantiles(frame, [], "duration_us", {"p25": 0.25, "p50": 0.5, "p75": 0.75}, seconds)
     points = quartiles.select(F.struct("p25", "p50", "p75")).scalar()
     off = base / unit - F.col("center")
     squares = F.sum(n * off * off + 2 * off * over / unit + F.col("_squares") / unit / unit)

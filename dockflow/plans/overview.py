@@ -7,10 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from dockflow.functions.figures import MICROS_PER_MINUTE, exact_sum, ratio
+from dockflow.functions.figures import MICROS_PER_MINUTE
 from dockflow.functions.trip import SECONDS_PER_DAY, count_where, positive, rides
-from dockflow.operators.quantiles import wide_quantiles
+from dockflow.operators.quantiles import by_second, wide_quantiles
 from dockflow.operators.shares import long_counts, share_of
+from dockflow.plans.durations import mean_of
 from dockflow.sources.files import LONG, SHORT, period_of, row_fault, wanted_name, with_status
 from dockflow.sources.schema import TRIP_FILE
 
@@ -56,9 +57,9 @@ def overview_mix(trips: DataFrame) -> DataFrame:
 def overview_duration(trips: DataFrame) -> DataFrame:
     """Mean and median minutes."""
     rows = positive(trips)
-    median = wide_quantiles(rows, [], "duration_us", {"median": 0.5})
-    mean = ratio(exact_sum(F.col("total_us")), F.sum("n"), MICROS_PER_MINUTE)
-    return rows.agg(F.round(mean, 1).alias("avg_min")).select(
+    seconds = by_second(rows, [], "duration_us")
+    median = wide_quantiles(rows, [], "duration_us", {"median": 0.5}, seconds)
+    return seconds.agg(F.round(mean_of(MICROS_PER_MINUTE), 1).alias("avg_min")).select(
         "avg_min",
         F.round(median.select("median").scalar() / MICROS_PER_MINUTE, 1).alias("median_min"),
     )

@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from dockflow.operators.box import box_statistics
 from dockflow.operators.flows import station_flows
 from dockflow.operators.quantiles import ranked_profile, second_profile, wide_quantiles
 from dockflow.operators.ranking import by_name, top_per_group
@@ -55,6 +56,24 @@ def test_wide_quantiles_without_groups(spark):
         assert found[name] == pytest.approx(interpolated([v for _, v in rows], p), rel=1e-12)
 
 
+@pytest.mark.parametrize("seed", [5, 6])
+def test_box_statistics(spark, seed):
+    groups, rows = durations(seed)
+    groups |= {"two": [1, 10**12], "gap": [10**6] * 30 + [10**11 + i for i in range(30)] + [9 * 10**11]}
+    rows += [(g, v) for g in ("two", "gap") for v in groups[g]]
+    frame = spark.createDataFrame(rows, "g string, us long").withColumn("n", F.lit(1)).repartition(7)
+    found = {row.g: row for row in box_statistics(frame, "g", F.col("us"), 1000).collect()}
+    assert set(found) == set(groups)
+    for group, values in groups.items():
+        q1, median, q3 = (interpolated(values, p) for p in (0.25, 0.5, 0.75))
+        reach = 1.5 * (q3 - q1)
+        inside = [v for v in values if q1 - reach <= v <= q3 + reach]
+        want = [q1, median, q3, min([*inside, q1]), max([*inside, q3])]
+        row = found[group]
+        assert [row.q1, row.median, row.q3, row.whisker_low, row.whisker_high] == pytest.approx([v / 1000 for v in want], abs=1e-4)
+        assert (row.rides, row.fliers) == (len(values), len(values) - len(inside))
+
+
 def test_profiles_agree_with_plain_aggregates(spark):
     rng = random.Random(4)
     rows = [(rng.choice("ab"), rng.choice([600, rng.randrange(1, 86400)])) for _ in range(3000)]

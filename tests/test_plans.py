@@ -34,11 +34,11 @@ TWO_READS = {
 # exchange below the counts is reused while running.
 SHARED_COUNTS = {
     "hourly_rides_per_day": 1,
-    "duration_describe": 4,
-    "long_ride_describe": 4,
-    "duration_box_by_bike": 3,
-    "circular_box": 3,
-    "overview_duration": 3,
+    "duration_describe": 2,
+    "long_ride_describe": 2,
+    "duration_box_by_bike": 2,
+    "circular_box": 2,
+    "overview_duration": 2,
     "station_map_points": 2,
     "duration_sketch_by_bike": 2,
     "duration_sketch_by_bike_user": 2,
