@@ -83,6 +83,23 @@ SQL: dict[str, str] = {
         reach AS (SELECT doc_id AS a, doc_id AS b FROM w UNION SELECT reach.a, both_.b FROM reach JOIN both_ ON reach.b = both_.a)
         SELECT w.doc_id, CAST(coalesce(size.n, 0) AS BIGINT) AS n_shingles, c.component_id, w.doc_id = c.component_id AS kept
         FROM w LEFT JOIN size USING (doc_id) JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING (doc_id)""",
+    # Texts as hexadecimal digits, two for a byte, in pieces so that no place is far from its piece's start.
+    "op9_repeats": """
+        WITH t AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS x FROM documents),
+        n AS (SELECT *, CAST(length(x) // 2 AS BIGINT) AS n FROM t),
+        c AS (SELECT r, x, n, unnest(range(0, greatest(n - 399, 0), 200)) AS base FROM n),
+        k AS (SELECT r, base, substr(x, 2 * base + 1, 2 * 599) AS piece, unnest(range(0, least(200, n - 399 - base))) AS j FROM c),
+        p AS MATERIALIZED (SELECT r, base + j AS pos, md5(substr(piece, 2 * j + 1, 800)) AS s FROM k),
+        h AS (SELECT r, pos FROM p JOIN (SELECT s FROM p GROUP BY s HAVING count(*) > 1) USING (s)),
+        g AS (SELECT r, pos, CASE WHEN pos <= lag(pos) OVER (PARTITION BY r ORDER BY pos) + 400 THEN 0 ELSE 1 END AS fresh FROM h),
+        i AS (SELECT r, pos, sum(fresh) OVER (PARTITION BY r ORDER BY pos) AS run FROM g),
+        u AS (SELECT r, min(pos) AS a, max(pos) + 400 AS b FROM i GROUP BY r, run),
+        e AS (SELECT *, lead(a) OVER (PARTITION BY r ORDER BY a) AS after FROM u),
+        z AS (SELECT r, CAST(sum(b - a) AS BIGINT) AS n_removed, count(*) AS n_spans,
+            any_value(substr(x, 1, 2 * first)) || string_agg(substr(x, 2 * b + 1, 2 * (coalesce(after, n) - b)), '' ORDER BY a) AS kept
+            FROM (SELECT e.*, min(a) OVER (PARTITION BY r) AS first FROM e) JOIN n USING (r) GROUP BY r)
+        SELECT doc_id, n AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans, sha256(unhex(coalesce(kept, x))) AS kept_sha256
+        FROM n LEFT JOIN z USING (r)""",
     "op10_decontaminate": rf"""
         WITH dw AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
         bw AS (SELECT item_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
