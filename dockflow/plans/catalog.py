@@ -60,6 +60,7 @@ QUERIES: dict[str, Callable[..., DataFrame]] = {
         durations.duration_percentiles,
         durations.duration_sketch_by_bike,
         durations.duration_sketch_by_bike_user,
+        durations.duration_sketch_rollup,
         durations.duration_by_bike_exact,
         durations.duration_describe,
         durations.duration_histogram,

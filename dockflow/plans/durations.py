@@ -30,6 +30,8 @@ from dockflow.operators.quantiles import (
 TYPICAL = {"median": 0.5, "p95": 0.95}
 SPREAD = {"p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 SKETCH_ACCURACY = 10000
+#: Size of a period's sketch, and a bound of its rank error that it keeps with near certainty.
+PERIOD_SKETCH, PERIOD_SLACK = 4096, 0.005
 
 
 def _sketched(trips: DataFrame, keys: Sequence[str], quantiles: dict[str, float]) -> DataFrame:
@@ -74,12 +76,14 @@ def duration_percentiles(trips: DataFrame, sketch: bool = False) -> DataFrame:
 
 
 def _within(
-    trips: DataFrame, keys: Sequence[str], quantiles: dict[str, float], sketch: Column
+    rows: DataFrame,
+    keys: Sequence[str],
+    quantiles: dict[str, float],
+    sketched: DataFrame,
+    slack: float = 1 / SKETCH_ACCURACY,
 ) -> DataFrame:
-    """Rows (keys, quantile, rides, exact_min, within): whether the sketched value lies within the
-    sketch's rank error of the wanted rank, next to the exact value of that rank."""
-    rows = valid(trips)
-    sketched = rows.groupBy(*keys).agg(sketch.alias("_sketch"))
+    """Rows (keys, quantile, rides, exact_min, within): whether the sketched value (an array of them,
+    ``_sketch``) lies within the sketch's rank error of the wanted rank, next to the exact value of that rank."""
     seconds = _beside(counted(rows, keys, "duration_secs"), sketched, keys)
     value = {name: F.col("_sketch")[i] for i, name in enumerate(quantiles)}
     at = F.col("duration_secs")
@@ -87,11 +91,11 @@ def _within(
         *[count_where(at < value[name], f"below_{name}") for name in quantiles],
         *[count_where(at <= value[name], f"upto_{name}") for name in quantiles],
     )
-    slack = F.ceil(F.col("rides") / SKETCH_ACCURACY)
+    off = F.ceil(F.col("rides") * slack)
     found = []
     for name, p in quantiles.items():
         rank = F.ceil(F.col("rides") * p)
-        near = (F.col(f"below_{name}") < rank + slack) & (F.col(f"upto_{name}") >= rank - slack)
+        near = (F.col(f"below_{name}") < rank + off) & (F.col(f"upto_{name}") >= rank - off)
         exact = seconds_as_minutes(F.col(name)).alias("exact_min")
         found.append(F.struct(F.lit(name).alias("quantile"), exact, near.alias("within")))
     both = _beside(ranked_profile(rows, keys, quantiles), ranked, keys)
@@ -106,13 +110,56 @@ def _beside(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame
 def duration_sketch_by_bike(trips: DataFrame) -> DataFrame:
     """Spark's approximate percentile per bike type, held against the exact ranks."""
     each = [F.percentile_approx("duration_secs", p, SKETCH_ACCURACY) for p in TYPICAL.values()]
-    return _within(trips, ["rideable_type"], TYPICAL, F.array(*each))
+    rows, keys = valid(trips), ["rideable_type"]
+    return _within(rows, keys, TYPICAL, rows.groupBy(*keys).agg(F.array(*each).alias("_sketch")))
 
 
 def duration_sketch_by_bike_user(trips: DataFrame) -> DataFrame:
     """The same for seven points at once, per bike and user type."""
     points = F.percentile_approx("duration_secs", list(SPREAD.values()), SKETCH_ACCURACY)
-    return _within(trips, ["rideable_type", "member_casual"], SPREAD, points)
+    rows, keys = valid(trips), ["rideable_type", "member_casual"]
+    return _within(rows, keys, SPREAD, rows.groupBy(*keys).agg(points.alias("_sketch")))
+
+
+def period_sketches(trips: DataFrame) -> DataFrame:
+    """A mergeable sketch of the durations per file period, bike and user type. A task sends one for
+    each of the few periods that it has rows of, and no reducer gets those of all periods."""
+    grain = ("file_period", "rideable_type", "member_casual")
+    return valid(trips).groupBy(*grain).agg(
+        F.kll_sketch_agg_bigint("duration_secs", PERIOD_SKETCH).alias("sketch"), rides("n"), F.sum("total_secs").alias("total_secs")
+    )
+
+
+def merged_sketches(sketches: DataFrame, keys: Sequence[str] = ("file_period", "rideable_type", "member_casual")) -> DataFrame:
+    """Sketches rolled up to ``keys``; the rides themselves are not looked at."""
+    return sketches.groupBy(*keys).agg(
+        F.kll_merge_agg_bigint("sketch", PERIOD_SKETCH).alias("sketch"), F.sum("n").alias("n"), F.sum("total_secs").alias("total_secs")
+    )
+
+
+def _in_periods(frame: DataFrame, first: str | None, last: str | None) -> DataFrame:
+    if first is not None:
+        frame = frame.filter(F.col("file_period") >= first)
+    return frame if last is None else frame.filter(F.col("file_period") <= last)
+
+
+def duration_rollup(
+    sketches: DataFrame, keys: Sequence[str] = ("rideable_type",), first: str | None = None, last: str | None = None
+) -> DataFrame:
+    """rides, avg_min and the usual quantiles of any run of file periods, from their sketches alone."""
+    merged = merged_sketches(_in_periods(sketches, first, last), keys)
+    value = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(p)).alias(name) for name, p in TYPICAL.items()]
+    return _in_minutes(merged.select(*keys, F.col("n").alias("rides"), "total_secs", *value), keys)
+
+
+def duration_sketch_rollup(trips: DataFrame, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Quantiles per bike type of a run of file periods, from sketches per period, held against the
+    exact ranks."""
+    keys = ["rideable_type"]
+    merged = merged_sketches(period_sketches(_in_periods(trips, first, last)), keys)
+    points = [F.kll_sketch_get_quantile_bigint("sketch", F.lit(p)) for p in SPREAD.values()]
+    sketched = merged.select(*keys, F.array(*points).alias("_sketch"))
+    return _within(valid(_in_periods(trips, first, last)), keys, SPREAD, sketched, PERIOD_SLACK)
 
 
 def duration_by_bike_exact(trips: DataFrame) -> DataFrame:

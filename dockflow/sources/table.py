@@ -25,7 +25,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -192,36 +192,37 @@ def replace_table(path: str, *loads: DataFrame) -> None:
     publish(spark, path, generation)
 
 
-def _shown(entries: list) -> Column | None:
-    """Without the rows of files that don't count in a load."""
-    hidden = [(F.col("load") == e.load) & (F.col("file_name") == e.file_name) for e in entries if not e.counts]
-    shown = None
-    for each in hidden:
-        shown = ~F.coalesce(each, F.lit(False)) if shown is None else shown & ~F.coalesce(each, F.lit(False))
-    return shown
-
-
 def read_trips(spark: SparkSession, path: str) -> DataFrame:
     """The table as it is now; what comes later is seen by a later call."""
-    trips = _numbered_trips(spark, generation_folder(spark, path))
-    return with_calendar(trips.drop("load"))
+    return with_calendar(read_loads(spark, generation_folder(spark, path)).drop("load"))
+
+
+def load_states(spark: SparkSession, folder: str) -> dict[int, str]:
+    """The loads that have rows, and for each the files that don't count, as text."""
+    per_load = _entries(spark, folder).filter("rows > 0").groupBy("load").agg(
+        F.max("counts").alias("any"),
+        F.concat_ws("\n", F.array_sort(F.collect_list(F.when(~F.col("counts"), F.col("file_name"))))).alias("hidden"),
+    )
+    return {row.load: row.hidden for row in per_load.filter("any").orderBy("load").collect()}
 
 
-def _numbered_trips(spark: SparkSession, folder: str, after: int = 0) -> DataFrame:
-    """The stored rows of the loads beyond ``after``, with ``load``."""
-    entries = _entries(spark, folder).filter((F.col("rows") > 0) & (F.col("load") > after))
-    loads = [r.load for r in entries.groupBy("load").agg(F.max("counts").alias("any")).filter("any").orderBy("load").collect()]
-    if not loads:
+def read_loads(spark: SparkSession, folder: str, loads: list[int] | None = None) -> DataFrame:
+    """The stored rows of these loads of a generation (of all), with ``load``."""
+    states = load_states(spark, folder)
+    states = {n: hidden for n, hidden in states.items() if loads is None or n in loads}
+    if not states:
         names = "file_name string, file_period string, load long"
         return table_rows(spark.createDataFrame([], TRIP_FILE.simpleString()[7:-1].replace(":", " ") + ", " + names))
-    folders = [f"{folder}/load={n}" for n in loads]
+    folders = [f"{folder}/load={n}" for n in states]
     schema = spark.read.option("basePath", folder).parquet(*folders).schema
     # A period is text; from the folder names it would be read as a number.
     text = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "file_period" else f for f in schema])
     rows = spark.read.schema(text).option("basePath", folder).parquet(*folders)
-    beaten = entries.filter(~F.col("counts") & F.col("load").isin(*loads)).select("load", "file_name", "counts").collect()
-    shown = _shown(beaten)
-    return rows if shown is None else rows.filter(shown)
+    for load, hidden in states.items():
+        if hidden:
+            beaten = (F.col("load") == load) & F.col("file_name").isin(*hidden.split("\n"))
+            rows = rows.filter(~F.coalesce(beaten, F.lit(False)))
+    return rows
 
 
 def rejects(spark: SparkSession, path: str) -> DataFrame:

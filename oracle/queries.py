@@ -96,11 +96,11 @@ def profile(keys: str, quantile: str, source: str = "valid", label: str | None =
       {as_min(f"{quantile}(secs::DOUBLE, 0.95)")} AS p95_min FROM {source} {group}"""
 
 
-def sketched(keys: str, quantiles: dict[str, float]) -> str:
+def sketched(keys: str, quantiles: dict[str, float], source: str = "valid") -> str:
     """The exact values, and that every sketched value is within its rank error."""
     return " UNION ALL ".join(
         f"""SELECT {keys}, {N} AS rides, '{name}' AS quantile,
-      {as_min(f"quantile_disc(secs::DOUBLE, {p})")} AS exact_min, true AS within FROM valid GROUP BY {keys}"""
+      {as_min(f"quantile_disc(secs::DOUBLE, {p})")} AS exact_min, true AS within FROM {source} GROUP BY {keys}"""
         for name, p in quantiles.items()
     )
 
@@ -248,6 +248,10 @@ BODIES = {
     "duration_sketch_by_bike_user": sketched(
         "rideable_type, member_casual", {f"p{p}": p / 100 for p in (10, 25, 50, 75, 90, 95, 99)}
     ),
+    "duration_sketch_rollup": sketched(
+        "rideable_type", {f"p{p}": p / 100 for p in (10, 25, 50, 75, 90, 95, 99)},
+        "(SELECT * FROM valid WHERE file_period BETWEEN '199903' AND '200004')",
+    ),
     "duration_by_bike_exact": profile("rideable_type", "quantile_cont"),
     "duration_describe": describe("positive", 60000000),
     "duration_histogram": range_bins("positive", "least(us, 7200000000)", 80, 60000000),

@@ -42,6 +42,7 @@ SHARED_COUNTS = {
     "station_map_points": 2,
     "duration_sketch_by_bike": 2,
     "duration_sketch_by_bike_user": 2,
+    "duration_sketch_rollup": 2,
 }
 
 

@@ -56,6 +56,7 @@ NAMES = [
     "duration_by_bike_exact",
     "duration_sketch_by_bike",
     "duration_sketch_by_bike_user",
+    "duration_sketch_rollup",
     "duration_describe",
     "duration_histogram",
     "duration_box_by_bike",
