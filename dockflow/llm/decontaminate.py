@@ -85,12 +85,13 @@ def matches(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLO
     starts = (
         places.join(_sized(wanted, most).withColumnRenamed("term_1", "term_id"), "term_id")
         .select(*DOC, "phrase_id", (F.col("pos") - F.col("offset_1")).alias("start"), "term_2", "offset_2").where("start >= 1")
+        .distinct()  # repeated rows have the same postings; without this each would meet those of all others
     )
     bin_ = slop + 1
     expected = F.col("start") + F.col("offset_2")
     starts = starts.withColumn("bin", F.explode(F.transform(F.array(*(F.lit(x) for x in (-1, 0, 1))), lambda x: F.floor(expected / bin_) + x)))
     second = wanted.select(F.col("term_2").alias("term_id")).distinct()
-    others = places.join(F.broadcast(second) if second.count() <= most else second, "term_id").select(*(F.col(k).alias(f"other_{k}") for k in DOC), "term_id", "pos", F.floor(F.col("pos") / bin_).alias("other_bin"))
+    others = places.join(F.broadcast(second) if second.count() <= most else second, "term_id").select(*(F.col(k).alias(f"other_{k}") for k in DOC), "term_id", "pos", F.floor(F.col("pos") / bin_).alias("other_bin")).distinct()
     both = starts.join(
         others,
         (F.col("text_key") == F.col("other_text_key")) & F.col("doc_id").eqNullSafe(F.col("other_doc_id")) & (F.col("term_2") == F.col("term_id")) & (F.col("bin") == F.col("other_bin")),
