@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from dockflow.functions.figures import percent
 from dockflow.functions.trip import count_where, positive, rides, started
+from dockflow.operators.heavy import busiest_groups
 from dockflow.operators.ranking import by_name, top
 from dockflow.operators.shares import scaled
 
@@ -79,11 +80,12 @@ def top_routes_geo(trips: DataFrame, k: int = 20) -> DataFrame:
     """The busiest routes between exact positions, with a size to draw them.
 
     ``size`` is a line width of 1 to 6 for a one-way route and a marker radius of 6 to 26 for
-    a circular one, scaled among the routes of its kind.
+    a circular one, scaled among the routes of its kind. Positions may differ in every ride, so
+    rides that can't be on one of the k routes are left out before the grouping.
     """
     located = positive(trips).dropna(subset=[START, END, *ENDPOINTS])
-    counts = located.groupBy(START, END, *ENDPOINTS, "is_circular").agg(rides())
-    busiest = top(counts, k, F.desc("rides"), *by_name(START, END, *ENDPOINTS))
+    route = [START, END, *ENDPOINTS]
+    busiest = busiest_groups(located, [*route, "is_circular"], k, *by_name(*route))
     size = F.when(F.col("is_circular"), scaled("rides", 6, 26, ["is_circular"])).otherwise(
         scaled("rides", 1, 6, ["is_circular"])
     )

@@ -43,6 +43,7 @@ SHARED_COUNTS = {
     "duration_sketch_by_bike": 2,
     "duration_sketch_by_bike_user": 2,
     "duration_sketch_rollup": 2,
+    "top_routes_geo": 3,
 }
 
 
