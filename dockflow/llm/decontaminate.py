@@ -4,8 +4,14 @@ The index holds a posting (document, position) for every document word that some
 has, and one for each document's length; it is written once, in one pass over the texts. A phrase
 is looked up from its rarest terms: the postings of the rarest, moved back by the term's offset,
 are the phrase's possible starts; they are intersected with the postings of the next rarest. What
-is left is compared in full with the document's words. Pairs of the two rarest terms that are out
-of place by up to `slop` positions are proximity matches.
+is left is compared in full with the document's words.
+
+A proximity match is a start at which all terms of the phrase but one stand within `slop` positions
+of their places (no term may be missing from a phrase of fewer than four). Its start is where one of
+the two rarest terms stands in place; the second takes that part only if every term occurs in some
+document, for else the rarest can't be the one that is missing. Terms that no document has count as
+missing. Rarest means with fewest postings, then first in the phrase. `near_item_ids` are the items
+with a proximity match in a document, but no exact one.
 
 A phrase is `size` consecutive words of an item, or all words of a shorter one; words are
 `[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+` after lower-casing A-Z. Null or empty texts have no words; items without
@@ -51,24 +57,47 @@ def index(docs: DataFrame, terms: DataFrame, most: int = MOST_ROWS) -> DataFrame
     return spread.join(_sized(terms, most), "term").drop("term")
 
 
-def lookups(found: DataFrame, index_: DataFrame) -> DataFrame:
-    """For each phrase whose terms all occur: its two rarest terms and their offsets."""
+def may_miss(n: Column) -> Column:
+    """How many of a phrase's n terms may be missing in a proximity match."""
+    return F.when(n >= 4, 1).otherwise(0)
+
+
+def lookups(found: DataFrame, index_: DataFrame, near: bool = True) -> DataFrame:
+    """Pairs of rare terms and their offsets, by which each phrase is looked up: the rarest two of
+    a phrase whose terms all occur; with `near`, also those that hold if one term is missing."""
     counts = index_.where("pos > 0").groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
     spread = found.select("phrase_id", "n", F.posexplode("term_ids").alias("offset", "term_id"))
+    least = F.col("n") - (may_miss(F.col("n")) if near else 0)
     ranked = (
         spread.join(counts, "term_id").groupBy("phrase_id", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "offset", "term_id"))).alias("by"))
-        .where(F.size("by") == F.col("n"))
+        .where(F.size("by") >= least)
     )
-    second = F.coalesce(F.get("by", F.lit(1)), F.get("by", F.lit(0)))
-    return ranked.select("phrase_id", F.col("by")[0].alias("one"), second.alias("two")).select(
-        "phrase_id", F.col("one.term_id").alias("term_1"), F.col("one.offset").alias("offset_1"), F.col("two.term_id").alias("term_2"), F.col("two.offset").alias("offset_2")
+    rare = [F.get("by", F.lit(i)) for i in range(3)]
+    first = F.struct(rare[0].alias("one"), F.coalesce(rare[1], rare[0]).alias("two"))
+    pairs = F.array(first)
+    if near:
+        more = F.array(first, *(F.struct(rare[i].alias("one"), rare[j].alias("two")) for i, j in ((0, 2), (1, 0), (1, 2))))
+        pairs = F.when((F.size("by") == F.col("n")) & (may_miss(F.col("n")) > 0), more).otherwise(pairs)
+    return ranked.select("phrase_id", F.explode(pairs).alias("p")).select(
+        "phrase_id", F.col("p.one.term_id").alias("term_1"), F.col("p.one.offset").alias("offset_1"), F.col("p.two.term_id").alias("term_2"), F.col("p.two.offset").alias("offset_2")
     )
 
 
-def matches(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLOP, most: int = MOST_ROWS) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """The documents (doc_id, text_key, n_words); exact matches (doc_id, text_key, start, n, phrase_id);
-    proximity matches (doc_id, text_key, start, shift, phrase_id); and (item_id, phrase_id)."""
+def _stands(phrase: Column, start: Column, w: Column, slop: int) -> Column:
+    """How many terms of the phrase have a posting within `slop` of their place."""
+
+    def near_place(i: Column) -> Column:
+        low = F.greatest(start + i - slop, F.lit(1))
+        size = F.greatest(start + i + slop - low + 1, F.lit(0))
+        return F.array_contains(F.slice(w, low, size), F.get(phrase, i))
+
+    return F.size(F.filter(F.sequence(F.lit(0), F.size(phrase) - 1), near_place))
+
+
+def matches(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLOP, most: int = MOST_ROWS, near: bool = True) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The documents (doc_id, text_key, n_words); matches (doc_id, text_key, start, n, phrase_id, exact),
+    with `near` the proximity matches among them; and (item_id, phrase_id)."""
     of_item = phrases(items, size)
     named = written(of_item.groupBy("phrase").agg(F.collect_set("item_id").alias("item_ids")).withColumn("phrase_id", F.monotonically_increasing_id()), "phrases")
     terms = named.select(F.explode("phrase").alias("term")).distinct().withColumn("term_id", F.monotonically_increasing_id())
@@ -79,61 +108,72 @@ def matches(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLO
 
     spread = named.select("phrase_id", F.posexplode("phrase").alias("at", "term")).join(terms, "term")
     found = spread.groupBy("phrase_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "term_id"))), lambda x: x["term_id"]).alias("term_ids")).withColumn("n", F.size("term_ids"))
-    wanted = written(lookups(found, postings), "lookups")
+    wanted = written(lookups(found, postings, near), "lookups")
 
     places = postings.where("pos > 0").select(*DOC, "pos", "term_id")
     starts = (
         places.join(_sized(wanted, most).withColumnRenamed("term_1", "term_id"), "term_id")
-        .select(*DOC, "phrase_id", (F.col("pos") - F.col("offset_1")).alias("start"), "term_2", "offset_2").where("start >= 1")
+        .select(*DOC, "phrase_id", (F.col("pos") - F.col("offset_1")).alias("start"), "term_2", "offset_2")
         .distinct()  # repeated rows have the same postings; without this each would meet those of all others
     )
-    bin_ = slop + 1
+    reach = slop if near else 0
+    bin_ = reach + 1
     expected = F.col("start") + F.col("offset_2")
-    starts = starts.withColumn("bin", F.explode(F.transform(F.array(*(F.lit(x) for x in (-1, 0, 1))), lambda x: F.floor(expected / bin_) + x)))
+    around = (-1, 0, 1) if near else (0,)
+    starts = starts.withColumn("bin", F.explode(F.transform(F.array(*(F.lit(x) for x in around)), lambda x: F.floor(expected / bin_) + x)))
     second = wanted.select(F.col("term_2").alias("term_id")).distinct()
     others = places.join(F.broadcast(second) if second.count() <= most else second, "term_id").select(*(F.col(k).alias(f"other_{k}") for k in DOC), "term_id", "pos", F.floor(F.col("pos") / bin_).alias("other_bin")).distinct()
     both = starts.join(
         others,
         (F.col("text_key") == F.col("other_text_key")) & F.col("doc_id").eqNullSafe(F.col("other_doc_id")) & (F.col("term_2") == F.col("term_id")) & (F.col("bin") == F.col("other_bin")),
     )
-    shift = F.col("pos") - expected
-    near = written(both.where(F.abs(shift) <= slop).select(*DOC, "phrase_id", "start", shift.alias("shift")).distinct(), "near")
+    likely = both.where(F.abs(F.col("pos") - expected) <= reach).select(*DOC, "phrase_id", "start").distinct()
 
-    possible = near.where("shift = 0").join(named.select("phrase_id", "phrase"), "phrase_id")
+    possible = likely.join(named.select("phrase_id", "phrase"), "phrase_id")
     per_doc = possible.groupBy(*DOC).agg(F.collect_list(F.struct("phrase_id", "start", "phrase")).alias("possible")).toDF("own_id", "own_key", "possible")
     per_doc = written(per_doc, "possible")
     text = keyed(docs)
     there = text.join(per_doc, (text.text_key == per_doc.own_key) & text.doc_id.eqNullSafe(per_doc.own_id)).select(*DOC, words(F.col("text")).alias("w"), "possible")
-    exact = there.select(*DOC, F.explode(F.filter("possible", lambda c: F.slice(F.col("w"), c["start"], F.size(c["phrase"])) == c["phrase"])).alias("c"))
-    exact = exact.select(*DOC, "c.start", F.size("c.phrase").alias("n"), "c.phrase_id").distinct()
-    return documents, exact, near.where("shift <> 0"), named.select("phrase_id", F.explode("item_ids").alias("item_id"))
+
+    def judged(c: Column) -> Column:
+        n = F.size(c["phrase"])
+        exact = (c["start"] >= 1) & (F.slice(F.col("w"), F.greatest(c["start"], F.lit(1)), n) == c["phrase"])
+        close = _stands(c["phrase"], c["start"], F.col("w"), slop) >= n - may_miss(n) if near else F.lit(False)
+        return F.struct(c["start"].alias("start"), n.alias("n"), c["phrase_id"].alias("phrase_id"), exact.alias("exact"), (exact | close).alias("holds"))
+
+    held = there.select(*DOC, F.explode(F.filter(F.transform("possible", judged), lambda c: c["holds"])).alias("c"))
+    held = held.select(*DOC, "c.start", "c.n", "c.phrase_id", "c.exact").distinct()
+    return documents, held, named.select("phrase_id", F.explode("item_ids").alias("item_id"))
 
 
-def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLOP, most: int = MOST_ROWS) -> DataFrame:
-    """doc_id, text_key, n_words, n_hit, item_ids (sorted strings) and near_item_ids of every row."""
-    documents, exact, near, of_phrase = matches(docs, items, size, slop, most)
-    exact = written(exact, "exact")
+def contamination(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLOP, most: int = MOST_ROWS, near: bool = True) -> DataFrame:
+    """doc_id, text_key, n_words, n_hit, item_ids and near_item_ids (sorted strings) of every row;
+    without `near`, proximity matches are not looked for."""
+    documents, held, of_phrase = matches(docs, items, size, slop, most, near)
+    held = written(held, "matches")
+    exact, close = held.where("exact"), held.where("not exact")
     covered = F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("n") - 1)))
-    hit = exact.groupBy(*DOC).agg(F.size(F.array_distinct(covered)).alias("n_hit")).withColumn("exact_", F.lit(True))
+    hit = exact.groupBy(*DOC).agg(F.size(F.array_distinct(covered)).alias("n_hit"))
 
     def items_of(rows: DataFrame, name: str) -> DataFrame:
         return rows.select(*DOC, "phrase_id").distinct().join(of_phrase, "phrase_id").groupBy(*DOC).agg(F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias(name))
 
     out = documents
-    for more in (hit, items_of(exact, "item_ids"), items_of(near, "near_item_ids")):
+    for more in (hit, items_of(exact, "item_ids"), items_of(close, "near_item_ids")):
         name = more.columns[2:]
         more = more.toDF("own_id", "own_key", *name)
         out = out.join(more, (out.text_key == more.own_key) & out.doc_id.eqNullSafe(more.own_id), "left").drop("own_id", "own_key")
     empty = F.array().cast("array<string>")
+    exact_ids = F.coalesce("item_ids", empty)
     return out.select(
         *DOC, F.col("n_words").cast("long").alias("n_words"), F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
-        F.coalesce("item_ids", empty).alias("item_ids"), F.coalesce("near_item_ids", empty).alias("near_item_ids"),
+        exact_ids.alias("item_ids"), F.array_except(F.coalesce("near_item_ids", empty), exact_ids).alias("near_item_ids"),
     )
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = SIZE) -> DataFrame:
     """The documents in which no phrase of an item occurs, all columns kept."""
-    return keep_clean(docs, contamination(docs, items, size))
+    return keep_clean(docs, contamination(docs, items, size, near=False))
 
 
 def keep_clean(docs: DataFrame, found: DataFrame) -> DataFrame:

@@ -85,6 +85,7 @@ def op10_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return out.select(
         "doc_id", "n_words", "n_hit", F.size("item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "item_ids").cast("binary"), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"),
+        F.size("near_item_ids").cast("long").alias("n_near_items"), F.sha2(F.concat_ws(",", "near_item_ids").cast("binary"), 256).alias("near_items_sha256"),
     )
 
 

@@ -110,9 +110,20 @@ SQL: dict[str, str] = {
         dg AS (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS p FROM dp),
         m AS (SELECT r, i, n, item_id FROM dg JOIN ph USING (n, p)),
         hit AS (SELECT r, count(DISTINCT place) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS place FROM m) GROUP BY r),
-        it AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM m WHERE item_id IS NOT NULL) GROUP BY r)
-        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
-        FROM dw LEFT JOIN hit USING (r) LEFT JOIN it USING (r)""",
+        it AS (SELECT r, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM m WHERE item_id IS NOT NULL) GROUP BY r),
+        pos AS (SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS pos FROM dw),
+        df AS (SELECT word, count(*) AS df FROM pos GROUP BY word),
+        pd AS (SELECT DISTINCT p, n, CASE WHEN n >= 4 THEN 1 ELSE 0 END AS may_miss FROM ph),
+        pt AS (SELECT *, unnest(string_split(p, ' ')) AS word, unnest(range(n)) AS o FROM pd),
+        rk AS (SELECT *, row_number() OVER (PARTITION BY p ORDER BY df, o) AS rank, count(*) OVER (PARTITION BY p) AS known FROM pt JOIN df USING (word)),
+        st AS (SELECT DISTINCT r, p, n, may_miss, pos - o AS s FROM rk JOIN pos USING (word) WHERE (rank = 1 AND known >= n - may_miss) OR (rank = 2 AND known = n AND may_miss = 1)),
+        nr AS (SELECT r, p FROM st JOIN pt USING (p, n, may_miss) JOIN pos USING (r, word) WHERE pos BETWEEN s + o - 3 AND s + o + 3 GROUP BY r, p, s, n, may_miss HAVING count(DISTINCT o) >= n - may_miss),
+        ni AS (SELECT r, count(*) AS n_near, string_agg(id, ',' ORDER BY id) AS near_ids FROM (
+            SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS id FROM nr JOIN ph USING (p) WHERE item_id IS NOT NULL
+            EXCEPT SELECT r, CAST(item_id AS VARCHAR) FROM m) GROUP BY r)
+        SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated,
+            coalesce(n_near, 0) AS n_near_items, sha256(coalesce(near_ids, '')) AS near_items_sha256
+        FROM dw LEFT JOIN hit USING (r) LEFT JOIN it USING (r) LEFT JOIN ni USING (r)""",
     "op11_sharding": f"""
         WITH {CRC_TABLE},
         t AS (SELECT doc_id, coalesce(text, '') AS text, CAST(strlen(coalesce(text, '')) + 1 AS BIGINT) AS size, CAST('0x' || substr(md5(coalesce(text, '')), 1, 15) AS BIGINT) AS key FROM documents),
