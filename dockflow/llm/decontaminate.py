@@ -22,7 +22,7 @@ come from the benchmark are broadcast up to `most` rows, and joined by shuffle b
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dockflow.llm.common import keyed, lower_ascii, text_key, written
@@ -63,25 +63,39 @@ def may_miss(n: Column) -> Column:
 
 
 def lookups(found: DataFrame, index_: DataFrame, near: bool = True) -> DataFrame:
-    """Pairs of rare terms and their offsets, by which each phrase is looked up: the rarest two of
-    a phrase whose terms all occur; with `near`, also those that hold if one term is missing."""
+    """(phrase_id, term_id, offset, bits): the rare terms by which each phrase is looked up, the two
+    rarest of a phrase whose terms all occur; with `near`, those that hold if one term is missing.
+    Bits 1, 2 and 4 are the term's rank, 8 says that the second may be in place of the first."""
     counts = index_.where("pos > 0").groupBy("term_id").agg(F.count(F.lit(1)).alias("df"))
     spread = found.select("phrase_id", "n", F.posexplode("term_ids").alias("offset", "term_id"))
-    least = F.col("n") - (may_miss(F.col("n")) if near else 0)
+    missing = may_miss(F.col("n")) if near else F.lit(0)
     ranked = (
         spread.join(counts, "term_id").groupBy("phrase_id", "n")
         .agg(F.sort_array(F.collect_list(F.struct("df", "offset", "term_id"))).alias("by"))
-        .where(F.size("by") >= least)
-    )
-    rare = [F.get("by", F.lit(i)) for i in range(3)]
-    first = F.struct(rare[0].alias("one"), F.coalesce(rare[1], rare[0]).alias("two"))
-    pairs = F.array(first)
-    if near:
-        more = F.array(first, *(F.struct(rare[i].alias("one"), rare[j].alias("two")) for i, j in ((0, 2), (1, 0), (1, 2))))
-        pairs = F.when((F.size("by") == F.col("n")) & (may_miss(F.col("n")) > 0), more).otherwise(pairs)
-    return ranked.select("phrase_id", F.explode(pairs).alias("p")).select(
-        "phrase_id", F.col("p.one.term_id").alias("term_1"), F.col("p.one.offset").alias("offset_1"), F.col("p.two.term_id").alias("term_2"), F.col("p.two.offset").alias("offset_2")
+        .where(F.size("by") >= F.col("n") - missing)
     )
+    both = (missing > 0) & (F.size("by") == F.col("n"))
+    single = F.when(F.size("by") == 1, 2).otherwise(0)
+    rare = ranked.select("phrase_id", both.alias("both"), single.alias("single"), F.posexplode(F.slice("by", F.lit(1), F.when(both, 3).otherwise(2))).alias("rank", "t"))
+    bits = F.expr("shiftleft(1, rank)").bitwiseOR(F.col("single")).bitwiseOR(F.when(F.col("both"), 8).otherwise(0))
+    return rare.select("phrase_id", F.col("t.term_id").alias("term_id"), F.col("t.offset").alias("offset"), bits.alias("bits"))
+
+
+def candidates(places: DataFrame, wanted: DataFrame, reach: int) -> DataFrame:
+    """(doc_id, text_key, phrase_id, start) where a rare term stands in place and another within `reach`."""
+    start = (F.col("pos") - F.col("offset")).alias("start")
+    # Repeated rows have the same postings; they become one here, before anything meets.
+    own = places.join(wanted, "term_id").select(*DOC, "phrase_id", start, "bits").groupBy(*DOC, "phrase_id", "start").agg(F.bit_or("bits").alias("own"))
+    if reach:
+        around = Window.partitionBy(*DOC, "phrase_id").orderBy("start").rangeBetween(-reach, reach)
+        own = own.withColumn("all", F.bit_or("own").over(around))
+    else:
+        own = own.withColumn("all", F.col("own"))
+
+    def has(name: str, bits: int) -> Column:
+        return F.col(name).bitwiseAND(F.lit(bits)) != 0
+
+    return own.where((has("own", 1) & has("all", 6)) | (has("own", 8) & has("own", 2) & has("all", 5))).select(*DOC, "phrase_id", "start")
 
 
 def _stands(phrase: Column, start: Column, w: Column, slop: int) -> Column:
@@ -111,23 +125,7 @@ def matches(docs: DataFrame, items: DataFrame, size: int = SIZE, slop: int = SLO
     wanted = written(lookups(found, postings, near), "lookups")
 
     places = postings.where("pos > 0").select(*DOC, "pos", "term_id")
-    starts = (
-        places.join(_sized(wanted, most).withColumnRenamed("term_1", "term_id"), "term_id")
-        .select(*DOC, "phrase_id", (F.col("pos") - F.col("offset_1")).alias("start"), "term_2", "offset_2")
-        .distinct()  # repeated rows have the same postings; without this each would meet those of all others
-    )
-    reach = slop if near else 0
-    bin_ = reach + 1
-    expected = F.col("start") + F.col("offset_2")
-    around = (-1, 0, 1) if near else (0,)
-    starts = starts.withColumn("bin", F.explode(F.transform(F.array(*(F.lit(x) for x in around)), lambda x: F.floor(expected / bin_) + x)))
-    second = wanted.select(F.col("term_2").alias("term_id")).distinct()
-    others = places.join(F.broadcast(second) if second.count() <= most else second, "term_id").select(*(F.col(k).alias(f"other_{k}") for k in DOC), "term_id", "pos", F.floor(F.col("pos") / bin_).alias("other_bin")).distinct()
-    both = starts.join(
-        others,
-        (F.col("text_key") == F.col("other_text_key")) & F.col("doc_id").eqNullSafe(F.col("other_doc_id")) & (F.col("term_2") == F.col("term_id")) & (F.col("bin") == F.col("other_bin")),
-    )
-    likely = both.where(F.abs(F.col("pos") - expected) <= reach).select(*DOC, "phrase_id", "start").distinct()
+    likely = candidates(places, _sized(wanted, most), slop if near else 0)
 
     possible = likely.join(named.select("phrase_id", "phrase"), "phrase_id")
     per_doc = possible.groupBy(*DOC).agg(F.collect_list(F.struct("phrase_id", "start", "phrase")).alias("possible")).toDF("own_id", "own_key", "possible")
