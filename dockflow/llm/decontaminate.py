@@ -84,8 +84,11 @@ def lookups(found: DataFrame, index_: DataFrame, near: bool = True) -> DataFrame
 def candidates(places: DataFrame, wanted: DataFrame, reach: int) -> DataFrame:
     """(doc_id, text_key, phrase_id, start) where a rare term stands in place and another within `reach`."""
     start = (F.col("pos") - F.col("offset")).alias("start")
-    # Repeated rows have the same postings; they become one here, before anything meets.
-    own = places.join(wanted, "term_id").select(*DOC, "phrase_id", start, "bits").groupBy(*DOC, "phrase_id", "start").agg(F.bit_or("bits").alias("own"))
+    starts = places.join(wanted, "term_id").select(*DOC, "phrase_id", start, "bits")
+    # One exchange, in the order of the documents, for the aggregate and the window. Rows that repeat
+    # doc_id and text have the same postings; they become one here, a task for each phrase.
+    starts = starts.repartition(*DOC, "phrase_id") if reach else starts
+    own = starts.groupBy(*DOC, "phrase_id", "start").agg(F.bit_or("bits").alias("own"))
     if reach:
         around = Window.partitionBy(*DOC, "phrase_id").orderBy("start").rangeBetween(-reach, reach)
         own = own.withColumn("all", F.bit_or("own").over(around))
