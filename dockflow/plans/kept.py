@@ -13,6 +13,7 @@ are many, they are merged into one, from the cells and not from the trips.
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,9 +21,9 @@ from pyspark.sql import functions as F
 from dockflow.functions.trip import with_calendar
 from dockflow.plans.cells import CELLS
 from dockflow.plans.durations import merged_sketches, period_sketches
-from dockflow.plans.reports import DOCUMENTS, runner
+from dockflow.plans.reports import runner, write_documents
 from dockflow.sources.claims import claim, create_once, numbers
-from dockflow.sources.results import write_result
+from dockflow.sources.results import together
 from dockflow.sources.table import generation_folder, load_states, read_loads, read_trips
 
 MEASURES = ("n", "total_secs", "total_us")
@@ -63,8 +64,11 @@ def _usable(spark: SparkSession, folder: str, states: Mapping[int, str]) -> dict
 
 def _enter(spark: SparkSession, folder: str, frames: Mapping[str, DataFrame], states: Mapping[int, str]) -> int:
     batch = claim(spark, f"{folder}/_kept/_claims")
-    for kind, rows in frames.items():
-        rows.write.mode("overwrite").parquet(f"{folder}/_kept/{kind}/{batch}")
+
+    def write(kind: str) -> None:
+        frames[kind].write.mode("overwrite").parquet(f"{folder}/_kept/{kind}/{batch}")
+
+    together(spark, [partial(write, kind) for kind in frames])
     named = spark.createDataFrame([(n, state, batch) for n, state in states.items()], f"{BATCH}, batch long")
     named.coalesce(1).write.mode("overwrite").parquet(f"{folder}/_kept/batches/{batch}")
     create_once(spark, f"{folder}/_kept/_done/{batch}")
@@ -100,5 +104,4 @@ def update_reports(
     """Write all documents below ``path`` as they are after the last load, from kept cells."""
     frames = keep(spark, table)
     run = runner(read_trips(spark, table), {kind: frames[kind] for kind in CELLS}, parameters)
-    for name, build in DOCUMENTS.items():
-        write_result(build(run), f"{path}/{name}")
+    write_documents(spark, run, path)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from dockflow.operators.nested import (
 from dockflow.plans.catalog import QUERIES
 from dockflow.plans.cells import CELLS
 from dockflow.plans.peaks import season_hours
-from dockflow.sources.results import write_result
+from dockflow.sources.results import together, write_result
 
 Run = Callable[[str], DataFrame]
 
@@ -242,10 +243,21 @@ def write_reports(
     """Write all documents below ``path``, replacing earlier ones.
 
     Each kind of cells is counted in one read of the trips and written there too; all sections
-    are read from them.
+    are read from them. Kinds are counted at the same time, and so are documents written.
     """
-    for kind, (count, _) in CELLS.items():
-        count(trips).write.mode("overwrite").parquet(f"{path}/{kind}")
+
+    def count_cells(kind: str) -> None:
+        CELLS[kind][0](trips).write.mode("overwrite").parquet(f"{path}/{kind}")
+
+    together(spark, [partial(count_cells, kind) for kind in CELLS])
     run = runner(trips, {kind: spark.read.parquet(f"{path}/{kind}") for kind in CELLS}, parameters)
-    for name, build in DOCUMENTS.items():
-        write_result(build(run), f"{path}/{name}")
+    write_documents(spark, run, path)
+
+
+def write_documents(spark: SparkSession, run: Run, path: str) -> None:
+    """Write every document below ``path``; planning one overlaps with the jobs of others."""
+
+    def write(name: str) -> None:
+        write_result(DOCUMENTS[name](run), f"{path}/{name}")
+
+    together(spark, [partial(write, name) for name in DOCUMENTS])
