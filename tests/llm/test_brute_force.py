@@ -51,6 +51,21 @@ def test_repeats(spark, length, most):
     assert {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in found.collect()} == long_repeats(rows, length)
 
 
+def test_shared_passages(spark):
+    """Passages of 55 words that four texts share: cut where they have `length` bytes, left alone where they are shorter."""
+    r = random.Random(9)
+    words = lambda n, size: " ".join("".join(r.choices("abcdefghijklmnop", k=size)) for _ in range(n))
+    rows = [(i, words(r.randrange(50, 200), 6)) for i in range(10)]
+    for first, size in ((100, 5), (200, 7)):  # 329 and 439 bytes
+        for k, passage in enumerate(words(55, size) for _ in range(3)):
+            rows += [(first + 10 * k + i, f"{words(r.randrange(20, 90), 6)} {passage} {words(r.randrange(20, 90), 6)}") for i in range(4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for length, least in ((400, 200), (256, 100)):
+        found = {x.doc_id: (x.n_bytes, x.n_removed, x.n_spans, bytes(x.kept)) for x in repeat_spans.remove_repeats(docs, length).collect()}
+        assert found == long_repeats(rows, length)
+        assert {i for i, x in found.items() if x[1]} == {i for i, _ in rows if i >= least}
+
+
 def near_rows():
     r, k, rows = random.Random(5), 0, []
     vocabulary = [f"w{i}" for i in range(4000)]
