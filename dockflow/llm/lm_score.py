@@ -5,10 +5,13 @@ word has f(w) / N. A text's score is the sum of the logarithms; all counts cover
 
 Counts and joins are by hash: unigram counts are a table; bigrams are exploded, dealt out by hash,
 and meet their counts in the task of their hash range; what that gives is summed per document.
-Bigrams travel in blocks: one row holds the bigrams of some hundred texts that fall into one range,
-sorted and packed, with the counts of their two words. These come from the unigram table: broadcast
-if it has at most `most` rows (a checked bound), else all are joined as rows by plain shuffles
-(`joined_scores`, the same result).
+Bigrams travel in blocks of some thousand texts: one row holds the distinct words and bigrams of a block
+that fall into one range, sorted and packed. The rows of the unigram table are dealt to the same ranges.
+A range answers each block with the counts of the names it sent, in their order. The block's texts, as
+numbers of its words, cross the same exchange once and wait there for the answers. So what is written is in
+proportion to the words, however many ranges there are, and no task or driver holds the vocabulary.
+Of more than `most` words in all, the bigrams are joined as rows by plain shuffles (`joined_scores`, the
+same result).
 
 Words are `[^\\x20\\x09-\\x0D]+` after lower-casing A-Z. Null and empty texts have no words, log_score 0
 and mean 0. Repeated rows score alike. Only doc_id and text are read.
@@ -29,11 +32,13 @@ from dockflow.llm.common import keyed, pieces, text_key, written
 from dockflow.llm.textbytes import U, mix, text_of, word_hashes
 
 ALPHA, LEAST = 0.4, 2
-#: Rows of the unigram table that may be broadcast (12 bytes each).
-MOST_ROWS = 8_000_000
 BLOCK_WORDS, RANGE_WORDS, HELD_WORDS = 1_000_000, 1_500_000, 1_500_000
 #: With more ranges a block's rows would be too short to be worth packing.
-MOST_RANGES = 4096
+MOST_RANGES = 1 << 14
+#: Words of all texts that are dealt out packed.
+MOST_ROWS = MOST_RANGES * RANGE_WORDS
+#: In place of a block's number: rows of the unigram table.
+TABLE = -1
 #: Marks the row of a block that holds its documents.
 ROWS = b"rows"
 
@@ -75,16 +80,17 @@ def unigrams(docs: DataFrame) -> DataFrame:
 
 
 def _pack(*arrays: np.ndarray) -> bytes:
-    raw = b"".join(a.tobytes() for a in arrays)
+    """Compressed by byte planes: the high bytes of numbers, mostly alike, lie together."""
+    raw = b"".join(a.view(np.uint8).reshape(-1, a.itemsize).T.tobytes() for a in arrays)
     return zstandard.ZstdCompressor(level=1).compress(np.array([len(a) for a in arrays], np.int64).tobytes() + raw)
 
 
 def _unpack(data: bytes, *kinds: type) -> list[np.ndarray]:
     raw = zstandard.ZstdDecompressor().decompress(data)
     at, out = 8 * len(kinds), []
-    for n, kind in zip(np.frombuffer(raw, np.int64, len(kinds)).tolist(), kinds, strict=True):
-        out.append(np.frombuffer(raw, kind, n, at))
-        at += n * np.dtype(kind).itemsize
+    for n, kind in zip(np.frombuffer(raw, np.int64, len(kinds)).tolist(), map(np.dtype, kinds), strict=True):
+        out.append(np.frombuffer(raw, np.uint8, n * kind.itemsize, at).reshape(kind.itemsize, n).T.copy().view(kind).reshape(-1))
+        at += n * kind.itemsize
     return out
 
 
@@ -92,50 +98,63 @@ def _apart(values: np.ndarray) -> np.ndarray:
     return np.diff(values, prepend=values.dtype.type(0))
 
 
+def _together(gaps: np.ndarray) -> np.ndarray:
+    return np.cumsum(gaps, dtype=gaps.dtype)
+
+
 def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataFrame:
     ranges = max(1, -(-total // RANGE_WORDS))
-    names = counts.toArrow()  # at most MOST_ROWS rows
-    words, n = names["word"].to_numpy().view(U), names["n"].to_numpy()
-    order = np.argsort(words)
-    n = n.astype(np.uint32) if n.max(initial=0) < 1 << 32 else n
-    shared = docs.sparkSession.sparkContext.broadcast((words[order], n[order]))
     width = (1 << 64) // ranges + 1
 
+    def cuts(names: np.ndarray) -> list[int]:
+        """Where each range begins in sorted names, and their end."""
+        return [0, *np.searchsorted(names, np.array([r * width for r in range(1, ranges)], dtype=U)).tolist(), len(names)]
+
+    def dealt(rows: list[tuple[int, bytes]], block: int) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([r for r, _ in rows], pa.int64()), pa.array([block] * len(rows), pa.int64()), pa.array([p for _, p in rows], pa.binary())], ["part", "block", "packed"])
+
+    def deal(batches):
+        """The unigram table by ranges."""
+        held = []
+
+        def out():
+            words, n = (np.concatenate(x) for x in zip(*held, strict=True))
+            by = np.argsort(words)
+            words, n = words[by], n[by]
+            at = cuts(words)
+            return dealt([(r, _pack(_apart(words[a:b]), n[a:b])) for r, (a, b) in enumerate(zip(at[:-1], at[1:], strict=True)) if b > a], TABLE)
+
+        for batch in batches:
+            held.append((text_of(batch, "word").to_numpy().view(U), text_of(batch, "n").to_numpy()))
+            if sum(len(h[0]) for h in held) >= HELD_WORDS:
+                yield out()
+                held = []
+        if held:
+            yield out()
+
     def block(held: list[tuple], number: int) -> pa.RecordBatch:
-        known, f = shared.value
-        size = [len(h[0]) for h in held]
-        rows = np.concatenate([[0], np.cumsum(size)])
-        first = np.concatenate([[0], *(h[3][1:] + sum(len(x[2]) for x in held[:i]) for i, h in enumerate(held))]).astype(np.int64)
+        """What the block asks each range, and under a part of its own its documents and its words in order."""
+        n_words = np.concatenate([np.diff(h[3]) for h in held])
         word = np.concatenate([h[2] for h in held])
-        f1 = f[np.searchsorted(known, word)].astype(np.int64) if len(word) else np.zeros(0, np.int64)
-        pair, at, owner = _pairs(word, first)
-        base = np.bincount(owner, np.log(ALPHA * f1[at] / total), rows[-1]).astype(float)  # without bigrams it counts in integers
-        starts = first[:-1][np.diff(first) > 0]
-        base[np.diff(first) > 0] += np.log(f1[starts] / total)
-        by = np.argsort(pair, kind="stable")
-        pair, at, owner = pair[by], at[by], owner[by]
-        new = np.concatenate([[True], pair[1:] != pair[:-1]]) if len(pair) else np.zeros(0, bool)
-        own = np.concatenate([[True], new[1:] | (owner[1:] != owner[:-1])]) if len(pair) else new
-        where = np.flatnonzero(own)
-        times = np.diff(np.append(where, len(pair)))
-        distinct, kind = pair[new], (np.cumsum(new) - 1)[where]
-        left, right = f1[at[new] - 1], f1[at[new]]
-        owner = owner[where]
-        cuts = np.searchsorted(distinct, np.array([r * width for r in range(1, ranges)], dtype=U))
-        edges = [0, *cuts.tolist(), len(distinct)]
-        out = []
-        for r, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True)):
-            if b > a:
-                i, j = np.searchsorted(kind, [a, b])
-                out.append((r, _pack(_apart(distinct[a:b]), left[a:b], right[a:b], np.diff(np.append(np.searchsorted(kind, np.arange(a, b)), j)).astype(np.uint32), owner[i:j].astype(np.uint32), times[i:j].astype(np.uint32))))
-        n_words = np.diff(first)
-        ids = pa.concat_arrays([pa.array(h[0]) for h in held]), np.concatenate([h[1] for h in held])
-        table = pa.RecordBatch.from_arrays([ids[0], pa.array(ids[1]), pa.array(base), pa.array(n_words)], ["doc_id", "text_key", "base", "n"])
+        pair = _pairs(word, np.append(0, np.cumsum(n_words)))[0]
+        words, at, n = np.unique(word, return_inverse=True, return_counts=True)
+        by = np.argsort(-n, kind="stable")  # common words get small numbers
+        place = np.empty(len(by), np.uint32)
+        place[by] = np.arange(len(by), dtype=np.uint32)
+        mine = -1 - number
+        out = [(mine, _pack(_apart(words[by]), place[at]))]
+        table = pa.RecordBatch.from_arrays([pa.concat_arrays([pa.array(h[0]) for h in held]), pa.array(np.concatenate([h[1] for h in held])), pa.array(n_words)], ["doc_id", "text_key", "n"])
         sink = pa.BufferOutputStream()
         with pa.ipc.new_stream(sink, table.schema) as w:
             w.write_batch(table)
-        out.append((number % ranges, ROWS + sink.getvalue().to_pybytes()))
-        return pa.RecordBatch.from_arrays([pa.array([r for r, _ in out], pa.int32()), pa.array([number] * len(out), pa.int64()), pa.array([p for _, p in out], pa.binary())], ["part", "block", "packed"])
+        out.append((mine, ROWS + sink.getvalue().to_pybytes()))
+        pairs, n = np.unique(pair, return_counts=True)
+        of_words, of_pairs = cuts(words), cuts(pairs)
+        for r in range(ranges):
+            (a, b), (i, j) = of_words[r : r + 2], of_pairs[r : r + 2]
+            if b > a or j > i:
+                out.append((r, _pack(_apart(words[a:b]), _apart(pairs[i:j]), n[i:j].astype(np.uint32))))
+        return dealt(out, number)
 
     def explode(batches):
         held, number = [], TaskContext.get().partitionId() << 32
@@ -150,55 +169,60 @@ def _scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataF
             yield block(held, number)
 
     def meet(held: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        """What the bigrams of a range add to the documents of each block."""
-        out, packed = [], []
-        for _, number, data in held:
-            if data[:4] == ROWS:
-                out.append((number, data))
-            else:
-                packed.append((number, _unpack(data, np.uint64, np.int64, np.int64, *[np.uint32] * 3)))
-        if packed:
-            sizes = [len(p[1][0]) for p in packed]
-            at = np.unique(np.concatenate([np.cumsum(p[1][0], dtype=U) for p in packed]), return_inverse=True)[1]
-            here = np.concatenate([np.add.reduceat(p[1][5].astype(np.int64), np.cumsum(p[1][3], dtype=np.int64) - p[1][3]) for p in packed])
-            f2 = np.bincount(at, here)[at]
-            for (number, (_, left, right, per, owner, times)), low in zip(packed, np.cumsum(sizes) - sizes, strict=True):
-                f = f2[low : low + len(left)]
-                gain = np.where(f >= least, np.log(f) - np.log(left) - np.log(ALPHA * right / total), 0.0)
-                more = np.bincount(owner.astype(np.int64), np.repeat(gain, per.astype(np.int64)) * times)
-                rows = np.flatnonzero(more)
-                out.append((number, _pack(rows.astype(np.uint32), more[rows])))
-        return pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int64()), pa.array([x[1] for x in out], pa.binary())], ["block", "packed"])
-
-    def whole(held: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        """The documents of a block with the sum of what all ranges add."""
-        (rows,) = (b for _, data in held if data[:4] == ROWS for b in pa.ipc.open_stream(data[4:]))
-        sums = rows["base"].to_numpy().copy()
-        for _, data in held:
-            if data[:4] != ROWS:
-                at, more = _unpack(data, np.uint32, np.float64)
-                sums[at] += more
-        return pa.RecordBatch.from_arrays([rows["doc_id"], rows["text_key"], rows["n"], pa.array(sums)], ["doc_id", "text_key", "n_words", "log_score"])
-
-    def by_run(job, *names: str):
-        """Batches sorted by the first of `names`; its equal values go to the job together."""
-
-        def run(batches):
-            held: list[tuple] = []
-            for batch in batches:
-                for row in zip(*(text_of(batch, k).to_pylist() for k in names), strict=True):
-                    if held and held[0][0] != row[0]:
-                        yield job(held)
-                        held = []
+        """The counts of the words and bigrams that each block has in a range."""
+        table = [_unpack(data, U, np.int64) for _, number, data in held if number == TABLE]
+        asked = [(number, *_unpack(data, U, U, np.uint32)) for _, number, data in held if number != TABLE]
+        known = np.concatenate([_together(t[0]) for t in table] or [np.zeros(0, U)])
+        by = np.argsort(known)
+        known, n = known[by], np.concatenate([t[1] for t in table] or [np.zeros(0, np.int64)])[by]
+        at = np.unique(np.concatenate([_together(x[2]) for x in asked]), return_inverse=True)[1]
+        f2 = np.bincount(at, np.concatenate([x[3] for x in asked])).astype(np.int64)[at]
+        ends = np.cumsum([len(x[2]) for x in asked])
+        out = [_pack(n[np.searchsorted(known, _together(words))], f2[end - len(pairs) : end]) for (_, words, pairs, _), end in zip(asked, ends.tolist(), strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array([-1 - x[0] for x in asked], pa.int64()), pa.array([held[0][0]] * len(out), pa.int64()), pa.array(out, pa.binary())], ["part", "range", "packed"])
+
+    def by_range(batches):
+        """Batches sorted by part; the rows of a range go to `meet` together."""
+        held: list[tuple] = []
+        for batch in batches:
+            for row in zip(*(text_of(batch, k).to_pylist() for k in ("part", "block", "packed")), strict=True):
+                if held and held[0][0] != row[0]:
+                    yield meet(held)
+                    held = []
+                if row[0] >= 0:
                     held.append(row)
-            if held:
-                yield job(held)
-
-        return run
-
-    exploded = keyed(docs).mapInArrow(explode, "part int, block long, packed binary")
-    met = exploded.repartition(ranges, "part").sortWithinPartitions("part", "block").mapInArrow(by_run(meet, "part", "block", "packed"), "block long, packed binary")
-    return met.repartition("block").sortWithinPartitions("block").mapInArrow(by_run(whole, "block", "packed"), "doc_id long, text_key long, n_words long, log_score double")
+        if held:
+            yield meet(held)
+
+    def whole(rows: pa.Table, answers: pa.Table) -> pa.Table:
+        """The documents of a block: the sums over their words, of the counts that all ranges answered."""
+        names = ["doc_id", "text_key", "n_words", "log_score"]
+        if not rows.num_rows or rows["part"][0].as_py() >= 0:
+            return pa.table([pa.array([], kind) for kind in (pa.int64(), pa.int64(), pa.int64(), pa.float64())], names)
+        parts = rows["packed"].to_pylist()
+        (table,) = (b for data in parts if data[:4] == ROWS for b in pa.ipc.open_stream(data[4:]))
+        ((words, at),) = (_unpack(data, U, np.uint32) for data in parts if data[:4] != ROWS)
+        words, n_words = _together(words), table["n"].to_numpy()
+        first = np.append(0, np.cumsum(n_words))
+        counts = [_unpack(data, np.int64, np.int64) for _, data in sorted(zip(answers["range"].to_pylist(), answers["packed"].to_pylist(), strict=True))]
+        f1, f2 = (np.concatenate([c[k] for c in counts] or [np.zeros(0, np.int64)]) for k in (0, 1))
+        pair, after, owner = _pairs(words[at], first)
+        pairs, kind = np.unique(pair, return_inverse=True)
+        if (len(f1), len(f2)) != (len(words), len(pairs)):
+            raise ValueError("the answers are not those of this block")
+        n = np.empty(len(words), np.int64)
+        n[np.argsort(words)] = f1
+        f, left, right = f2[kind], n[at[after - 1]], n[at[after]]
+        sums = np.bincount(owner, np.where(f >= least, np.log(f) - np.log(left), np.log(ALPHA * right / total)), len(n_words)).astype(float)  # without bigrams it counts in integers
+        begun = n_words > 0
+        sums[begun] += np.log(n[at[first[:-1][begun]]] / total)
+        return pa.table([table["doc_id"], table["text_key"], table["n"], pa.array(sums)], names)
+
+    blocks = keyed(docs).mapInArrow(explode, "part long, block long, packed binary")
+    dealt_out = blocks.unionByName(counts.mapInArrow(deal, "part long, block long, packed binary")).repartition(ranges, "part")
+    answers = dealt_out.sortWithinPartitions("part").mapInArrow(by_range, "part long, range long, packed binary").repartition(ranges, "part")
+    # Both sides read the one exchange; documents of a block are in the partition of their part.
+    return dealt_out.groupBy("part").cogroup(answers.groupBy("part")).applyInArrow(whole, "doc_id long, text_key long, n_words long, log_score double")
 
 
 def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -217,7 +241,7 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def joined_scores(docs: DataFrame, counts: DataFrame, total: int, least: int) -> DataFrame:
-    """The same by plain joins: for collections whose unigram table is too large to broadcast."""
+    """The same by plain joins: for collections of too many words to be dealt out packed."""
     rows = keyed(docs).mapInArrow(_rows, "doc_id long, text_key long, v long, w long, pair long").groupBy("doc_id", "text_key", "v", "w", "pair").agg(F.count(F.lit(1)).alias("n"))
     same = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key().alias("text_key")).groupBy("doc_id", "text_key").agg(F.count(F.lit(1)).alias("copies"))
     seen = rows.where("pair is not null").groupBy("pair").agg(F.sum("n").alias("f2")).where(F.col("f2") >= least)
@@ -238,7 +262,7 @@ def joined_scores(docs: DataFrame, counts: DataFrame, total: int, least: int) ->
 def scores(docs: DataFrame, least: int = LEAST, most: int = MOST_ROWS) -> DataFrame:
     """doc_id, text_key, n_words, log_score and mean (log_score per word) of every row."""
     counts = unigrams(docs)
-    size, total = counts.agg(F.count(F.lit(1)), F.sum("n")).first()
-    way = _scores if size <= most and (total or 0) <= MOST_RANGES * RANGE_WORDS else joined_scores
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    way = _scores if total <= most else joined_scores
     found = way(docs, counts, total or 1, least)
     return found.withColumn("mean", F.when(F.col("n_words") > 0, F.col("log_score") / F.col("n_words")).otherwise(0.0))
